@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import bpe, packing, quality, secrets
 
 QUERIES = {
     "op3_host_quality": quality.op3_host_quality,
+    "op4_trigram_secrets": secrets.op4_trigram_secrets,
+    "op8_concatenate_and_cut": packing.op8_concatenate_and_cut,
+    "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
 }
 ORACLE_SQL = {
     "op3_host_quality": quality.SQL,
