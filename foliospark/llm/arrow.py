@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,7 +16,7 @@ STEP_BYTES = 4 << 20
 
 def steps(batch: pa.RecordBatch, column: int, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """batch in slices whose binary column holds at most limit bytes (a longer value stands alone)."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):
         if i > start and total + n > limit:

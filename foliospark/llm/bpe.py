@@ -10,6 +10,7 @@ the library whole.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 
@@ -23,6 +24,7 @@ from .common import table
 
 #: Characters that NFC leaves alone, whose lower case is one character, and whose class is known.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u012f\u0131-\u01c3\u2013\u2014\u2018-\u201d\u2022\u2026]*")
+#: Distinct fragments in each of two generations that are remembered.
 CACHE_ENTRIES = 300_000
 OPEN = b"\x01"
 
@@ -82,8 +84,7 @@ class Encoder:
         self.names = {i: t for t, i in self.tokenizer.get_vocab().items()}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cuts = cut_table(model["vocab"], model["end_of_word_suffix"])
-        self.ids: dict[bytes, bytes] = _Missing(self)
-        self.text: dict[bytes, bytes] = {}
+        self.ids, self.text = _Fragments(self, 0), _Fragments(self, 1)
 
     def fragment(self, key: bytes) -> tuple[bytes, bytes]:
         """Packed ids and decoded text of a lower-cased fragment; a last byte OPEN says that its word goes on."""
@@ -120,9 +121,8 @@ class Encoder:
         for k in goes_on.tolist():
             fragments[k] += OPEN
         bounds = np.searchsorted(np.asarray(edges), starts).tolist()
-        if len(self.ids) > CACHE_ENTRIES:
-            self.ids.clear()
-            self.text.clear()
+        for memory in (self.ids, self.text):
+            memory.age()
         ids, text = self.ids, self.text
         for i, a, b in zip(plain, bounds, bounds[1:], strict=False):
             own = fragments[a:b]
@@ -131,15 +131,33 @@ class Encoder:
         return out
 
 
-class _Missing(dict):
-    def __init__(self, encoder: Encoder):
+class _Fragments(dict):
+    """Fragment -> packed ids (which 0) or decoded text (which 1), in two generations."""
+
+    def __init__(self, encoder: Encoder, which: int):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.which, self.older = encoder, which, {}
+
+    def age(self) -> None:
+        if len(self) > CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
 
     def __missing__(self, key: bytes) -> bytes:
-        ids, text = self.encoder.fragment(key)
-        self[key], self.encoder.text[key] = ids, text
-        return ids
+        value = self.older.get(key)
+        if value is None:
+            both = self.encoder.fragment(key)
+            value = both[self.which]
+            if not self.which:
+                self.encoder.text[key] = both[1]
+        self[key] = value
+        return value
+
+
+@functools.lru_cache(2)
+def encoder_of(path: str) -> Encoder:
+    """One for each Python worker: its memory of fragments serves all the worker's tasks."""
+    return Encoder(path)
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -152,7 +170,7 @@ def _run(docs: DataFrame, path: str | None, types: dict, columns) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *(T.StructField(k, v) for k, v in types.items())])
 
     def make():
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         return lambda batch: [batch.column(0), *columns(encoder.encode([t.decode() for t in batch.column(1).to_pylist()]))]
 
     return map_batches(texts(docs), make, schema)

@@ -19,6 +19,8 @@ from .common import cut, table
 
 LENGTH = 2048
 END_ID = 1
+#: Global offsets, one 12-byte row for each input partition, are broadcast up to this many; more are joined by shuffle.
+MAX_BROADCAST_PARTS = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -36,9 +38,9 @@ def tokenize(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     def run(batches):
         from pyspark import TaskContext
 
-        from .tokens import Encoder
+        from .tokens import encoder as encoder_of
 
-        part, at, encoder, end = TaskContext.get().partitionId(), 0, Encoder(path), int(end_id).to_bytes(4, "little")
+        part, at, encoder, end = TaskContext.get().partitionId(), 0, encoder_of(path), int(end_id).to_bytes(4, "little")
         for batch in batches:
             for step in steps(batch, 1):
                 ids = [encoder.encode(t.decode()) + end for t in step.column(1).to_pylist()]
@@ -63,6 +65,9 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     before = F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     bases = totals.select("part", F.coalesce(before, F.lit(0)).alias("base"))
+    bases = cut(bases)
+    if bases.count() <= MAX_BROADCAST_PARTS:
+        bases = F.broadcast(bases)
     placed = tokens.join(bases, "part").withColumn("first", F.col("base") + F.col("start"))
     windows = F.sequence(F.expr(f"first div {length}"), F.expr(f"(first + n - 1) div {length}"))
     cutting = placed.select("doc_id", "n", "ids", "first", F.explode(windows).alias("sequence_id"))

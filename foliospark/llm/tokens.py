@@ -7,6 +7,7 @@ library as it is.
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -17,7 +18,7 @@ _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _S = "\t\n\r \xa0"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-#: Distinct pre-tokens remembered at once.
+#: Distinct pre-tokens in each of two generations that are remembered: what is used stays, memory is bounded.
 CACHE_ENTRIES = 400_000
 
 
@@ -26,13 +27,16 @@ class Pieces(dict):
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.older = tokenizer, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        ids = np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         if len(piece) <= 64:
+            if len(self) >= CACHE_ENTRIES:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
@@ -51,3 +55,9 @@ class Encoder:
         if COMMON.fullmatch(text) is None or any(s in text for s in self.special):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+
+
+@functools.lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One for each Python worker: its memory of pre-tokens serves all the worker's tasks."""
+    return Encoder(path)
