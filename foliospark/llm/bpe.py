@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from .arrow import map_batches, texts
 from .common import table
+from .tokens import byte_alphabet, pack
 
 #: Characters that NFC leaves alone, whose lower case is one character, and whose class is known.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u012f\u0131-\u01c3\u2013\u2014\u2018-\u201d\u2022\u2026]*")
@@ -35,14 +36,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 bytes stand for themselves,
-    the others, in order, for the code points from 256 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def cut_table(tokens, suffix: str) -> np.ndarray:
     """For each byte pair 0 (no cut), 1 (cut, and a word ends there) or 2 (cut inside a run)."""
     alphabet = byte_alphabet()
@@ -89,13 +82,17 @@ class Encoder:
     def fragment(self, key: bytes) -> tuple[bytes, bytes]:
         """Packed ids and decoded text of a lower-cased fragment; a last byte OPEN says that its word goes on."""
         goes_on = key.endswith(OPEN)
-        words = [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str((key[:-1] if goes_on else key).decode())]
+        bare = key[:-1] if goes_on else key
+        if (word := bare.strip(b" \n\r\t")).isalpha():  # one word of ASCII letters, which stand for themselves
+            words = [word.decode()]
+        else:
+            words = [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(bare.decode())]
         found = [t for i, w in enumerate(words) for t in (self.open if goes_on and i == len(words) - 1 else self.closed).tokenize(w)]
-        return np.asarray([t.id for t in found], "<u4").tobytes(), " ".join(self.names[t.id] for t in found).encode()
+        return pack(t.id for t in found), " ".join(self.names[t.id] for t in found).encode()
 
     def whole(self, text: str) -> tuple[bytes, bytes]:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes(), self.tokenizer.decode(ids, skip_special_tokens=False).encode()
+        return pack(ids), self.tokenizer.decode(ids, skip_special_tokens=False).encode()
 
     def encode(self, values: list[str]) -> list[tuple[bytes, bytes]]:
         """Packed ids and decoded text of each value."""

@@ -7,10 +7,10 @@ library as it is.
 
 from __future__ import annotations
 
+import array
 import functools
 import re
-
-import numpy as np
+import sys
 
 #: Characters whose classes (letter, number, space, other) the regex below spells out.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u024f\u2013\u2014\u2018-\u201d\u2022\u2026]*")
@@ -22,17 +22,33 @@ PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{
 CACHE_ENTRIES = 400_000
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 bytes stand for themselves,
+    the others, in order, for the code points from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def pack(ids) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Pieces(dict):
     """Pre-token -> packed ids."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.older = tokenizer, {}
+        self.model, self.letters, self.older = tokenizer.model, [c for c, _ in sorted(byte_alphabet().items(), key=lambda x: x[1])], {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = pack(t.id for t in self.model.tokenize("".join([self.letters[b] for b in piece.encode()])))
         if len(piece) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.older = dict(self)
@@ -53,7 +69,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         if COMMON.fullmatch(text) is None or any(s in text for s in self.special):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
 
 
