@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, secrets
+from . import bpe, packing, quality, secrets, simhash, suffixes
 
 QUERIES = {
+    "op2_gray_simhash": simhash.op2_gray_simhash,
     "op3_host_quality": quality.op3_host_quality,
     "op4_trigram_secrets": secrets.op4_trigram_secrets,
     "op8_concatenate_and_cut": packing.op8_concatenate_and_cut,
     "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
+    "op10_prefix_doubling": suffixes.op10_prefix_doubling,
 }
 ORACLE_SQL = {
     "op3_host_quality": quality.SQL,
