@@ -27,14 +27,14 @@ def steps(batch: pa.RecordBatch, column: int, limit: int = STEP_BYTES) -> Iterat
         yield batch.slice(start)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], schema: StructType, column: int = 1) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], schema: StructType, column: int = 1, limit: int = STEP_BYTES) -> DataFrame:
     """df.mapInArrow with bounded steps. make() is called once in each task, so that state is built there."""
     names = schema.names
 
     def run(batches):
         f = make()
         for batch in batches:
-            for step in steps(batch, column):
+            for step in steps(batch, column, limit):
                 arrays = f(step)
                 if arrays and len(arrays[0]):
                     yield pa.RecordBatch.from_arrays(arrays, names)

@@ -8,8 +8,10 @@ whole extent):
 
 1. a run whose 32-byte value is unique has no repeat and leaves;
 2. a run whose extent (all its 100-byte strings at once) has an earlier equal is a repeat from end to end and leaves;
-3. what remains, the first of each extent under a shared value, has its 100-byte strings ranked one by one: past the
-   threshold of 100 bytes a string is a repeat if its rank occurs earlier.
+3. of the rest, the first of each extent under a shared value, the offset grows: the seed's rank is paired with the
+   rank of the 34 bytes before or after it, and strings whose pair is unique leave;
+4. what remains has its 100-byte strings ranked one by one: past the threshold of 100 bytes a string is a repeat if its
+   rank occurs earlier.
 
 Ranks are 64-bit hashes, compared as pairs: 128 bits decide.
 """
@@ -33,6 +35,8 @@ LENGTH = 100
 SEED_LENGTH = 32
 #: Starts in a run at most; longer runs (periodic text) are several.
 RUN = 120
+#: Bytes of text hashed at once; a step needs about a hundred times as much.
+STEP = 1 << 20
 
 
 def runs(values: list[bytes], length: int = LENGTH, seed: int = SEED_LENGTH):
@@ -103,9 +107,8 @@ def _split(sorted_runs: DataFrame) -> DataFrame:
             if len(alone):
                 waiting = (doc[alone[-1]], at[alone[-1]], k[alone[-1]])
             gone = ~new_e & ~itself
-            docs = np.concatenate([[x[0] for x in out], doc[look], doc[gone]]).astype(np.int64)
-            ats = np.concatenate([[x[1] for x in out], at[look], at[gone]]).astype(np.int64)
-            ks = np.concatenate([[x[2] for x in out], k[look], k[gone]]).astype(np.int64)
+            held = np.array(out, np.int64).reshape(-1, 3)
+            docs, ats, ks = (np.concatenate([held[:, i], x[look], x[gone]]) for i, x in enumerate((doc, at, k)))
             if len(docs):
                 yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(ats), pa.array(ks, mask=np.arange(len(ks)) >= len(out) + look.sum())], schema.names)
             last = (k[-1], e[-1], doc[-1], at[-1])
@@ -113,6 +116,47 @@ def _split(sorted_runs: DataFrame) -> DataFrame:
     return sorted_runs.mapInArrow(run, schema)
 
 
+def _half_ranks(own: DataFrame, firsts: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc_id, look: array of (k, start, n), the strings still in question after the offset has grown by half of what
+    is left. Each string has that much to the left or to the right of its seed; (seed rank, rank of that side) must
+    occur twice. Runs with several seeds register all of them and stay whole."""
+    half, w = (length - seed) // 2, length - seed + 1
+    names = ("doc_id", "k", "side", "rank", "start", "n", "stays")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
+
+    def ranks():
+        def step(batch):
+            out = []
+            for doc, text, look in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                prefix, size = Prefix(np.frombuffer(text, np.uint8)), len(text)
+                h = signed(np.maximum(prefix.fixed(seed), np.uint64(1)))
+                at, k = look.values.field("at").to_numpy(), look.values.field("k").to_numpy()
+                first, n, tie = at >> 8, (at & 0xFF) >> 1, at & 1 == 1
+                span = n + w - 1
+                run = np.repeat(np.arange(len(at)), span)
+                place = np.repeat(first - (np.cumsum(span) - span), span) + np.arange(span.sum())
+                hit = h[place] == k[run]
+                run, place = run[hit], place[hit]
+                a, b, many = first[run], (first + n)[run], tie[run]
+                turn = np.clip(place - half + 1, a, b)  # strings before it have half to the left of the seed
+                for side, begin, end, ok, x, y in ((0, a, turn, place >= half, place - half, place + seed), (1, turn, b, place + seed + half <= size, place, place + seed + half)):
+                    use = ok & (many | (end > begin))
+                    r = run[use]
+                    out.append((k[r], np.full(len(r), side), signed(prefix.hash(x[use], y[use])), begin[use], np.where(many, 0, end - begin)[use], np.zeros(len(r), np.int64), np.full(len(r), doc)))
+                out.append((k[tie], np.full(tie.sum(), 2), first[tie], first[tie], n[tie], np.ones(tie.sum(), np.int64), np.full(tie.sum(), doc)))
+            *columns, docs = (pa.array(np.concatenate(x)) for x in zip(*out, strict=True))
+            return [docs, *columns]
+
+        return step
+
+    looked = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("at", "k")).alias("look"))
+    ranked = map_batches(own.join(looked, "doc_id").select("doc_id", "text", "look"), ranks, schema, limit=STEP)
+    near = W.partitionBy("k", "side", "rank").orderBy("doc_id", "start")
+    twice = F.lag("doc_id").over(near).isNotNull() | F.lead("doc_id").over(near).isNotNull()
+    left = ranked.withColumn("twice", twice).where("n > 0 and (twice or stays = 1)")
+    return left.groupBy("doc_id").agg(F.collect_list(F.struct("k", "start", "n")).alias("look"))
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
     """doc_id, spans: array of (start, starts): 100-byte strings that occur earlier begin at start, start + 1, ...
     Documents without any are absent."""
@@ -130,10 +174,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
         return step
 
     own = texts(docs).where("doc_id is not null")
-    filed = map_batches(own, make, schema)
+    filed = map_batches(own, make, schema, limit=STEP)
     split = cut(_split(filed.repartition("k").sortWithinPartitions("k", "e", "doc_id", "at")))
     start, count = F.shiftright("at", 8), F.shiftright(F.col("at").bitwiseAND(0xFF), 1)
-    closer = split.where("k is not null").groupBy("doc_id").agg(F.collect_list(F.struct("at", "k")).alias("look"))
+    closer = _half_ranks(own, split.where("k is not null"), length, seed)
     one = T.StructType([T.StructField(c, T.LongType()) for c in ("k", "h", "doc_id", "start")])
 
     def strings():
@@ -141,15 +185,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
             out = []
             for doc, text, look in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 h = Prefix(np.frombuffer(text, np.uint8)).fixed(length)
-                at, k = look.values.field("at").to_numpy(), look.values.field("k").to_numpy()
-                first, n = at >> 8, (at & 0xFF) >> 1
+                k, first, n = (look.values.field(c).to_numpy() for c in ("k", "start", "n"))
                 pos = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 out.append((np.repeat(k, n), signed(h[pos]), np.full(len(pos), doc, np.int64), pos))
             return [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
 
         return step
 
-    ranked = map_batches(own.join(closer, "doc_id").select("doc_id", "text", "look"), strings, one)
+    ranked = map_batches(own.join(closer, "doc_id").select("doc_id", "text", "look"), strings, one, limit=STEP)
     again = ranked.withColumn("n", F.row_number().over(W.partitionBy("k", "h").orderBy("doc_id", "start"))).where("n > 1").select("doc_id", "start", F.lit(1).cast("long").alias("starts"))
     whole = split.where("k is null").select("doc_id", start.alias("start"), count.alias("starts"))
     return whole.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
@@ -190,7 +233,7 @@ def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
 
         return step
 
-    changed = map_batches(_with_spans(docs, length, seed), make, schema).dropDuplicates(["_id"])
+    changed = map_batches(_with_spans(docs, length, seed), make, schema, limit=STEP).dropDuplicates(["_id"])
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     plain = docs.select("doc_id", F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("own"))
     zero = F.lit(0).cast("long")
@@ -209,7 +252,7 @@ def strip(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> Dat
 
         return step
 
-    changed = map_batches(_with_spans(docs, length, seed), make, schema).dropDuplicates(["_id"])
+    changed = map_batches(_with_spans(docs, length, seed), make, schema, limit=STEP).dropDuplicates(["_id"])
     out = docs.join(changed, F.col("doc_id") == F.col("_id"), "left").withColumn("text", F.coalesce("_new", "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
