@@ -26,7 +26,7 @@ from .tokens import byte_alphabet, pack
 #: Characters that NFC leaves alone, whose lower case is one character, and whose class is known.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u012f\u0131-\u01c3\u2013\u2014\u2018-\u201d\u2022\u2026]*")
 #: Distinct fragments in each of two generations that are remembered.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 OPEN = b"\x01"
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import trigrams
-from .arrow import map_batches, texts
+from .arrow import map_batches, steps, texts
 from .common import table
 
 
@@ -119,33 +119,23 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        scanner, kinds = Scanner(rules), [r.kind for r in rules]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = names.index("text")
-            values = batch.column(at).to_pylist()
-            new, counts = list(values), batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
-            start = 0
-            while start < len(values):
-                stop, total = start, 0
-                while stop < len(values) and (stop == start or total < 4 << 20):
-                    total += len(values[stop] or "")
-                    stop += 1
-                for k, spans in enumerate(scanner.scan([(v or "").encode() for v in values[start:stop]]), start):
-                    if spans:
-                        out, last = [], 0
-                        for s, i, e in spans:
-                            if s >= last:
-                                out += [values[k][last:s], f"[{kinds[i]}]"]
-                            last = max(last, e)
-                        new[k] = "".join([*out, values[k][last:]])
-                        if counts:
-                            counts[k] = len(new[k])
-                start = stop
+        scanner, kinds, at = Scanner(rules), [r.kind for r in rules], names.index("text")
+        for batch in (part for whole in batches for part in steps(whole, at)):
+            new = batch.column(at).to_pylist()
+            counts = batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
+            for k, spans in enumerate(scanner.scan([(v or "").encode() for v in new])):
+                if spans:
+                    out, last = [], 0
+                    for s, i, e in spans:
+                        if s >= last:
+                            out += [new[k][last:s], f"[{kinds[i]}]"]
+                        last = max(last, e)
+                    new[k] = "".join([*out, new[k][last:]])
+                    if counts:
+                        counts[k] = len(new[k])
             arrays = list(batch.columns)
             arrays[at] = pa.array(new, batch.schema.field(at).type)
-            if counts is not None:
+            if counts:
                 j = names.index("n_chars")
                 arrays[j] = pa.array(counts, batch.schema.field(j).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)

@@ -27,6 +27,8 @@ SHINGLE = 3
 FANOUT = 8
 #: Members of an upper node that one task compares; larger ones are dealt to blocks and every pair of blocks is compared.
 BLOCK = 8192
+#: 8-byte ids that a broadcast may hold: some 32 MB as a hash table.
+MAX_BROADCAST_IDS = 1_000_000
 #: Node pairs compared at once.
 FRONT = 1 << 20
 _SEED = 42
@@ -171,8 +173,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without the documents that aren't the first (smallest doc_id) of their class; columns as in docs."""
-    gone = classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
+    """docs without the documents that aren't the first (smallest doc_id) of their class; columns as in docs. The ids
+    that go are broadcast up to MAX_BROADCAST_IDS of them, so that texts stay in place; more are joined by shuffle."""
+    gone = cut(classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")))
+    if gone.count() <= MAX_BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, F.col("doc_id") == F.col("_gone_id"), "left_anti")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import map_batches, texts
+from .arrow import map_batches, steps, texts
 from .common import cut, table
 from .rolling import Prefix, signed, sliding
 
@@ -242,21 +242,31 @@ def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
 
 def strip(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
     """docs with repeats taken out of their texts; a code point of which a byte is taken goes whole. n_chars, if there,
-    is counted anew for changed texts; other columns and null texts stay."""
-    schema = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_new", T.StringType())])
+    is counted anew for changed texts; other columns and null texts stay. Texts move once, to meet their spans."""
+    names, schema = docs.columns, docs.schema
+    spans = repeats(docs, length, seed).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
 
-    def make():
-        def step(batch):
-            new = [np.frombuffer(text, np.uint8)[~mask].tobytes().decode(errors="ignore") for text, mask in _masks(batch, length)]
-            return [batch.column(0).cast(pa.int64()), pa.array(new, pa.string())]
-
-        return step
-
-    changed = map_batches(_with_spans(docs, length, seed), make, schema, limit=STEP).dropDuplicates(["_id"])
-    out = docs.join(changed, F.col("doc_id") == F.col("_id"), "left").withColumn("text", F.coalesce("_new", "text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    def run(batches):
+        for batch in (part for whole in batches for part in steps(whole, names.index("text"))):
+            arrays = list(batch.columns[: len(names)])
+            found = batch.column(len(names))
+            hit = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            if len(hit):
+                i = names.index("text")
+                new = arrays[i].to_pylist()
+                counts = arrays[names.index("n_chars")].to_pylist() if "n_chars" in names else None
+                for k in hit.tolist():
+                    body, x = new[k].encode(), found[k].values
+                    mask = _cover(len(body), x.field("start").to_numpy(), x.field("starts").to_numpy(), length)
+                    new[k] = np.frombuffer(body, np.uint8)[~mask].tobytes().decode(errors="ignore")
+                    if counts:
+                        counts[k] = len(new[k])
+                arrays[i] = pa.array(new, arrays[i].type)
+                if counts:
+                    arrays[names.index("n_chars")] = pa.array(counts, arrays[names.index("n_chars")].type)
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return docs.join(spans, F.col("doc_id") == F.col("_id"), "left").select(*names, "_spans").mapInArrow(run, schema)
 
 
 def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _S = "\t\n\r \xa0"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Distinct pre-tokens in each of two generations that are remembered: what is used stays, memory is bounded.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 
 
 def byte_alphabet() -> dict[str, int]:
