@@ -19,7 +19,7 @@ _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _S = "\t\n\r \xa0"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Distinct pre-tokens in each of two generations that are remembered: what is used stays, memory is bounded.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -48,7 +48,9 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = pack(t.id for t in self.model.tokenize("".join([self.letters[b] for b in piece.encode()])))
+            # of printable ASCII only the blank has a stand-in
+            letters = piece.replace(" ", self.letters[32]) if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+            ids = pack([t.id for t in self.model.tokenize(letters)])
         if len(piece) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.older = dict(self)
