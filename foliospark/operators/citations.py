@@ -52,8 +52,8 @@ def fuzzy_references(anchors: DataFrame, references: DataFrame, least: float = 0
     r = references.select("doc_id", "ref_key", "ord", F.explode(tokens(F.col("text"))).alias("token"))
     hits = a.join(r, ["doc_id", "token"]).groupBy("doc_id", "anchor_id", "n", "ref_key", "ord").agg(F.count("*").alias("k")).where(F.col("k") / F.col("n") >= least)
     score = F.least(F.lit(0.84), 0.55 + F.col("k") / F.col("n") * 0.35)
-    best = hits.groupBy("doc_id", "anchor_id").agg(F.max_by(F.struct("ref_key", F.round(score, 6).alias("confidence")), F.struct(F.col("k") / F.col("n"), -F.col("ord"))).alias("b"))
-    return best.select("doc_id", "anchor_id", "b.*")
+    best = hits.groupBy("doc_id", "anchor_id").agg(F.max_by(F.struct("ref_key", F.round(score, 6).alias("confidence")), F.struct(F.col("k") / F.col("n"), -F.col("ord"))).alias("_best"))
+    return best.select("doc_id", "anchor_id", "_best.*")
 
 
 def merge_references(references: DataFrame) -> DataFrame:

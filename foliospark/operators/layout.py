@@ -41,7 +41,7 @@ def classify(blocks: DataFrame, width: float = 595.0, height: float = 791.0) ->
     for test, name, sure in reversed(rules):
         first = F.when(test, F.struct((F.lit(name) if isinstance(name, str) else name).alias("category"), F.lit(sure).alias("confidence"))).otherwise(first if first is not None else None)
     out = F.coalesce(first, F.struct(F.lit("content").alias("category"), F.lit(0.7).alias("confidence")))
-    return blocks.select("doc_id", "block_id", out.alias("r")).select("doc_id", "block_id", "r.*")
+    return blocks.select("doc_id", "block_id", out.alias("_r")).select("doc_id", "block_id", "_r.*")
 
 
 def fallback_roles(blocks: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def project_regions(blocks: DataFrame, regions: DataFrame, least: float = 0.05)
     centre = inside((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2, F.col("rx0"), F.col("ry0"), F.col("rx1"), F.col("ry1"))
     both = blocks.join(regions, list(PAGE)).withColumn("hit", centre).withColumn("share", share).where(centre | (share >= least))
     key = F.struct(F.when(F.col("hit"), 0).otherwise(1), F.when(F.col("hit"), F.lit(0.0)).otherwise(-F.col("share")), "class_rank", "region_id")
-    return both.groupBy("doc_id", "block_id").agg(F.min_by(F.struct("region_id", "class_rank"), key).alias("r")).select("doc_id", "block_id", "r.*")
+    return both.groupBy("doc_id", "block_id").agg(F.min_by(F.struct("region_id", "class_rank"), key).alias("_r")).select("doc_id", "block_id", "_r.*")
 
 
 def column_flips(blocks: DataFrame) -> DataFrame:

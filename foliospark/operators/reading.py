@@ -49,7 +49,7 @@ def is_strong_claim(statement: Column, kind: Column) -> Column:
 
 
 def fact_candidates(paragraphs: DataFrame, most: int = MAX_CANDIDATES) -> DataFrame:
-    """The best statements of each document: narrative ones first, others to a quarter of the whole where there are
+    """The best statements of each document: narrative ones first, a quarter as many others where there are
     eight narrative ones or more. Ties keep the order of paragraphs."""
     s = first_statement(F.col("text"))
     c = paragraphs.withColumn("statement", s).where((F.col("statement") != "") & ~is_noise_statement(F.col("statement")))
@@ -60,7 +60,7 @@ def fact_candidates(paragraphs: DataFrame, most: int = MAX_CANDIDATES) -> DataFr
     r = c.withColumn("r", F.row_number().over(W.partitionBy("doc_id", "narrative").orderBy(F.desc("score"), "ord")))
     n = F.least(F.lit(most), F.sum(F.col("narrative").cast("int")).over(W.partitionBy("doc_id")))
     room = F.lit(most) - F.col("n")
-    others = F.when(F.col("n") >= 8, F.least(room, F.greatest(F.lit(1), F.floor(F.col("n") / 3)))).otherwise(room)
+    others = F.when(F.col("n") >= 8, F.least(room, F.greatest(F.lit(1), F.floor(F.col("n") / 4)))).otherwise(room)
     return r.withColumn("n", n).where(F.when(F.col("narrative"), F.col("r") <= most).otherwise(F.col("r") <= others)).drop("r", "n")
 
 
@@ -96,3 +96,35 @@ def evidence_edges(facts: DataFrame, paragraphs: DataFrame) -> DataFrame:
     derived = facts.select("doc_id", F.col("fact_id").alias("source"), F.col("para_id").alias("target"), F.lit("derived_from").alias("relation"))
     located = paragraphs.join(facts.select("doc_id", "para_id").distinct(), ["doc_id", "para_id"], "left_semi").select("doc_id", F.col("para_id").alias("source"), F.concat(F.lit("page_"), F.col("page").cast("string")).alias("target"), F.lit("located_near").alias("relation"))
     return derived.union(located)
+
+
+def is_noise_paragraph(text: Column, role: Column, page: Column) -> Column:
+    """Contact lines, address and author lists, fragments: what no fact is taken from."""
+    low, w = F.lower(text), words(text)
+    n = F.size(w)
+    commas = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+    short = count_words(w, lambda x: F.length(F.regexp_replace(x, r"^[.,;:()\[\]]+|[.,;:()\[\]]+$", "")) <= 2)
+    return (
+        (F.trim(text) == "") | role.isin("HeaderFooter", "ReferenceList") | any_of(low, ("orcid.org", "check for updates")) | (any_of(text, ("@",)) & (n < 12))
+        | (low.rlike(r"\bdepartment of\b") & low.rlike(r"\buniversity\b")) | ((commas >= 6) & low.rlike(r"\b(and|et al|jr|iii)\b"))
+        | ((n < 20) & (short > 0.55 * n)) | ((page <= 2) & (count_words(w, has_digit) >= 3) & (commas >= 3) & (n <= 45))
+        | ((page <= 2) & (n <= 50) & (count_words(w, starts_upper) > 0.55 * n) & (commas >= 2)) | ~text.rlike(r"\p{L}")
+    )
+
+
+#: What a full summary needs.
+FULL_FACTS, FULL_THEMES, FULL_RATIO = 12, 3, 0.8
+
+
+def summary_status(documents: DataFrame, facts: DataFrame, paragraphs: DataFrame, themes: DataFrame, key_lines: DataFrame) -> DataFrame:
+    """doc_id, status, reasons, ratio for every document: full, or degraded with its reasons in order. The ratio is the
+    share of key lines (doc_id, line_id, fact_id) whose known facts all come from narrative paragraphs."""
+    n = facts.join(paragraphs.select("doc_id", "para_id", "narrative"), ["doc_id", "para_id"], "left").select("doc_id", "fact_id", F.coalesce("narrative", F.lit(False)).alias("narrative"))
+    f = n.groupBy("doc_id").agg(F.count("*").alias("facts"), F.countDistinct(F.when(F.col("narrative"), F.col("fact_id"))).alias("narrative_facts"))
+    lines = key_lines.join(n, ["doc_id", "fact_id"]).groupBy("doc_id", "line_id").agg(F.bool_and("narrative").alias("ok")).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if("ok").alias("ok_lines"))
+    t = themes.groupBy("doc_id").agg(F.count("*").alias("themes"))
+    d = documents.join(f, "doc_id", "left").join(t, "doc_id", "left").join(lines, "doc_id", "left").fillna(0)
+    ratio = F.when(F.col("lines") > 0, F.round(F.col("ok_lines") / F.col("lines"), 6)).otherwise(0.0)
+    tests = ((F.col("facts") == 0, "missing_facts"), (F.col("themes") == 0, "missing_themes"), (F.col("lines") == 0, "missing_synthesis"), (F.col("narrative_facts") < FULL_FACTS, "insufficient_narrative_facts"), (F.col("themes") < FULL_THEMES, "insufficient_themes"), (F.col("lines") == 0, "missing_key_evidence_fact_links"), (ratio < FULL_RATIO, "low_narrative_coverage"))
+    reasons = F.concat_ws(",", *(F.when(t, name) for t, name in tests))
+    return d.select("doc_id", F.when(reasons == "", "full").otherwise("degraded").alias("status"), reasons.alias("reasons"), ratio.alias("ratio"))

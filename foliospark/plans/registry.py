@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assets, citations, gates, layout, paragraphs, reading, telemetry
+from ..operators import assets, citations, gates, layout, paragraphs, reading, render, telemetry
 from ..sources import html
 from .derive import LINES_SQL, derived, lines, with_tables
 
@@ -401,5 +401,54 @@ def html_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.outline(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+_TAILS = "cp AS (SELECT doc_id, page, para_id AS caption_id, ord AS c_ord, x0 AS cx0, y0 AS cy0, x1 AS cx1, y1 AS cy1 FROM paragraphs WHERE role LIKE '%Caption'), tl AS (SELECT b.doc_id, b.page, b.para_id, b.ord, b.x0, b.y0, caption_id, c_ord, cx1, cy0, greatest(0, b.y0 - cy1) AS gap, greatest(0, least(b.x1, cx1) - greatest(b.x0, cx0)) / greatest(1, least(b.x1 - b.x0, cx1 - cx0)) AS share FROM paragraphs b JOIN cp ON b.doc_id = cp.doc_id AND b.page = cp.page WHERE b.role = 'Body' AND b.text <> '')"
+
+
+def _bodies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p = derived(spark, sf_dir, "paragraphs")
+    captions = p.where("role like '%Caption'").select("doc_id", "page", F.col("para_id").alias("caption_id"), F.col("ord").alias("c_ord"), *(F.col(c).alias(f"c{c}") for c in ("x0", "y0", "x1", "y1")))
+    return p.where("role = 'Body' and text <> ''").select("doc_id", "page", "para_id", "ord", "x0", "y0", "x1", "y1"), captions
+
+
+@query(f"WITH {_TAILS} SELECT doc_id, para_id, caption_id, round(gap - share * 40, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, para_id ORDER BY gap - share * 40, c_ord) AS n FROM tl WHERE y0 >= cy0 - 20 AND gap <= 120 AND (share >= 0.1 OR x0 >= cx1 - 20 OR gap <= 40)) WHERE n = 1")
+def caption_tails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.caption_tails(*_bodies(spark, sf_dir))
+
+
+@query(f"""WITH {_TAILS}, bs AS (SELECT *, row_number() OVER (PARTITION BY doc_id, para_id ORDER BY gap - share * 80, c_ord) AS n FROM tl WHERE gap <= 260 AND (share >= 0.05 OR x0 >= cx1 - 24)),
+rk AS (SELECT doc_id, page, para_id, caption_id, round(gap - share * 80, 6) AS score, row_number() OVER (PARTITION BY doc_id, page ORDER BY round(gap - share * 80, 6), ord) AS rank FROM bs WHERE n = 1) SELECT * FROM rk WHERE rank <= 1""")
+def caption_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.caption_reviews(*_bodies(spark, sf_dir), most=1)
+
+
+@query(f"""WITH s AS (SELECT *, {_WORDS.format('trim(text)')} AS w, length(text) - length(replace(text, ',', '')) AS c FROM paragraphs)
+SELECT doc_id, para_id, trim(text) = '' OR contains(lower(text), 'check for updates') OR (contains(lower(text), 'department of') AND contains(lower(text), 'university')) OR (len(w) < 20 AND len(list_filter(w, lambda x: length(regexp_replace(x, '^[.,;:()\\[\\]]+|[.,;:()\\[\\]]+$', '', 'g')) <= 2)) > 0.55 * len(w))
+OR (page <= 2 AND len(list_filter(w, lambda x: regexp_matches(x, '[0-9]'))) >= 3 AND c >= 3 AND len(w) <= 45) OR (page <= 2 AND len(w) <= 50 AND len(list_filter(w, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) > 0.55 * len(w) AND c >= 2) OR NOT regexp_matches(text, '\\p{{L}}') AS is_noise FROM s""")
+def noise_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = derived(spark, sf_dir, "paragraphs")
+    return p.select("doc_id", "para_id", reading.is_noise_paragraph(F.col("text"), F.col("role"), F.col("page")).alias("is_noise"))
+
+
+@query(f"""WITH n AS (SELECT f.doc_id, f.fact_id, coalesce(p.narrative, false) AS narrative FROM facts f LEFT JOIN paragraphs p ON f.doc_id = p.doc_id AND f.para_id = p.para_id),
+d AS (SELECT doc_id, count(*) AS facts_n, count(*) FILTER (narrative) AS nar, round(avg(narrative::INT), 6) AS ratio FROM n GROUP BY doc_id), t AS (SELECT doc_id, count(DISTINCT category) AS themes_n FROM facts GROUP BY doc_id),
+o AS (SELECT DISTINCT doc_id FROM paragraphs)
+SELECT o.doc_id, CASE WHEN coalesce(nar, 0) >= 12 AND coalesce(themes_n, 0) >= 3 AND coalesce(ratio, 0) >= 0.8 THEN 'full' ELSE 'degraded' END AS status,
+concat_ws(',', CASE WHEN d.doc_id IS NULL THEN 'missing_facts' END, CASE WHEN d.doc_id IS NULL THEN 'missing_themes' END, CASE WHEN d.doc_id IS NULL THEN 'missing_synthesis' END, CASE WHEN coalesce(nar, 0) < 12 THEN 'insufficient_narrative_facts' END, CASE WHEN coalesce(themes_n, 0) < 3 THEN 'insufficient_themes' END, CASE WHEN d.doc_id IS NULL THEN 'missing_key_evidence_fact_links' END, CASE WHEN coalesce(ratio, 0) < 0.8 THEN 'low_narrative_coverage' END) AS reasons, coalesce(ratio, 0.0) AS ratio
+FROM o LEFT JOIN d ON o.doc_id = d.doc_id LEFT JOIN t ON o.doc_id = t.doc_id""")
+def summary_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, f = derived(spark, sf_dir, "paragraphs"), derived(spark, sf_dir, "facts")
+    lines_ = f.select("doc_id", F.col("fact_id").alias("line_id"), "fact_id")
+    return reading.summary_status(p.select("doc_id").distinct(), f, p, reading.themes(f), lines_)
+
+
+@query(f"""WITH {_ROLED}, {_MERGE}, ln AS (SELECT doc_id, page, reading_pos, CASE WHEN role = 'Heading' THEN '## ' || trim(text) WHEN role LIKE '%Caption' THEN '> ' || trim(text) ELSE trim(text) END AS x FROM roled WHERE trim(text) <> '' AND role <> 'HeaderFooter'),
+bd AS (SELECT doc_id, string_agg(x, chr(10) || chr(10) ORDER BY page, reading_pos) AS body FROM ln GROUP BY doc_id),
+rf AS (SELECT doc_id, string_agg(CASE WHEN n_records > 1 THEN '- [mapped] ' ELSE '- [catalog] ' END || ref_key || ' ' || coalesce(title, ''), chr(10) || chr(10) ORDER BY ref_key) AS refs_ FROM mr GROUP BY doc_id)
+SELECT bd.doc_id, body || coalesce(chr(10) || chr(10) || '## References' || chr(10) || chr(10) || refs_, '') AS text FROM bd LEFT JOIN rf ON bd.doc_id = rf.doc_id""")
+def rendered_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = citations.merge_references(derived(spark, sf_dir, "refs")).select("doc_id", "ref_key", "title", (F.col("n_records") > 1).alias("mapped"))
+    return render.notes(layout.fallback_roles(derived(spark, sf_dir, "blocks")), merged)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate_report(spark, sf_dir)
