@@ -1,7 +1,7 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are lines; inside a line a paragraph also ends at a sentence end whose last word hashes to an even value, so
-that a passage set into another text falls into the same paragraphs there. Words are those of the SimHash operator
+Paragraphs are lines; inside a line a paragraph also ends at a sentence end (a word ending in . ! or ? before one that
+doesn't begin with a-z), so that a passage set into another text falls into the same paragraphs there. Words are those of the SimHash operator
 (A-Z lower-cased), shingles have five words. Paragraphs equal word for word are one class without further work. Of the
 others, those that share a band (6 bands of 2 rows: a pair of Jaccard similarity 0.8 is missed with probability
 0.36**6 = 0.0022) are joined with the other paragraphs in that bucket, the exact Jaccard similarity of their shingle
@@ -27,7 +27,7 @@ BANDS, ROWS = 6, 2
 #: Paragraphs with fewer words aren't compared.
 MIN_WORDS = 10
 #: Runs of neighbouring repeated paragraphs with fewer words in all aren't reported: common short lines stay.
-MIN_RUN_WORDS = 25
+MIN_RUN_WORDS = 20
 #: Members of a bucket that one task compares; larger buckets are dealt to blocks and every pair of blocks is compared.
 BLOCK = 2048
 STEP = 1 << 20
@@ -42,11 +42,12 @@ _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 
 
 class Paragraphs:
-    """Of a block of texts: doc (text number), number (in its text), start, end (code points), words, fp (of the word
+    """Of a block of texts: doc (text number), number (among its text's paragraphs of enough words), start, end (code points), words, fp (of the word
     sequence), and the shingles of paragraph i in shingles[first[i] : first[i] + count[i]]."""
 
     def __init__(self, values: list[bytes], least: int = MIN_WORDS):
-        flat = _LOW[np.frombuffer(b"\n".join(values) + b"\n", np.uint8)]
+        raw = np.frombuffer(b"\n".join(values) + b"\n", np.uint8)
+        flat = _LOW[raw]
         begins = np.cumsum([0] + [len(v) + 1 for v in values[:-1]])
         inside = ~_SPACE[flat]
         edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
@@ -55,15 +56,17 @@ class Paragraphs:
         lines = np.concatenate([[0], np.cumsum(flat == 10)])
         gap = np.concatenate([lines[ws[1:]] > lines[we[:-1]], [True]]) if len(ws) else np.zeros(0, bool)
         last = flat[we - 1]
-        ends = gap | (((last == 46) | (last == 33) | (last == 63)) & (word & np.uint64(1) == 0))
+        small = np.concatenate([(raw[ws[1:]] >= 97) & (raw[ws[1:]] <= 122), [False]]) if len(ws) else gap
+        ends = gap | (((last == 46) | (last == 33) | (last == 63)) & ~small)
         close = np.flatnonzero(ends)
         first = np.concatenate([[0], close[:-1] + 1]).astype(np.int64) if len(close) else np.zeros(0, np.int64)
         words = close - first + 1
+        keep = words >= max(least, SHINGLE)
+        words, first, close = words[keep], first[keep], close[keep]
         doc = np.searchsorted(begins, ws[first], side="right") - 1 if len(first) else first
         head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else doc
         number = np.arange(len(doc)) - np.repeat(head, np.diff(np.concatenate([head, [len(doc)]])))
-        keep = words >= max(least, SHINGLE)
-        self.doc, self.number, self.words, first, close = doc[keep], number[keep], words[keep], first[keep], close[keep]
+        self.doc, self.number, self.words = doc, number, words
         points = point_offsets(flat)
         base = points[begins[self.doc]]
         self.start, self.end = points[ws[first]] - base, points[we[close]] - base
@@ -190,7 +193,7 @@ def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """One row per paragraph of a class of two or more: doc_id, paragraph (number in its text), start, end (code
+    """One row per paragraph of a class of two or more: doc_id, paragraph (number among those of enough words in its text), start, end (code
     points), n_words, keeper_doc_id, keeper_paragraph (the class's first by doc_id and number), removed (not the first).
 
     Null, empty and short texts give no rows; a text repeated under several doc_ids repeats all its paragraphs; texts

@@ -125,7 +125,7 @@ def test_paragraphs_match_brute_force(spark):
     texts += [None, "", "short", base[0] + "\n" + base[0]]
     rows = minhash.repeated(make(spark, texts), min_run_words=0).collect()
     got = {(r.doc_id, r.paragraph): (r.keeper_doc_id, r.keeper_paragraph, r.removed) for r in rows}
-    units = [((d, n), line.split()) for d, t in enumerate(texts) for n, line in enumerate(x for x in (t or "").split("\n") if x.split()) if len(line.split()) >= minhash.MIN_WORDS]
+    units = [((d, n), line.split()) for d, t in enumerate(texts) for n, line in enumerate(x for x in (t or "").split("\n") if len(x.split()) >= minhash.MIN_WORDS)]
     sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in units}
     at = {k: tuple(w) for k, w in units}
     links = [(a, b) for a in sets for b in sets if a < b and (at[a] == at[b] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]))]
