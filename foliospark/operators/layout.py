@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import inside, overlap, x_overlap_ratio
 
-#: For roles: after `fig.` the word boundary asks for a letter or digit at once, so `Fig. 3` isn't one here.
+#: The patterns of captions and of noise. For roles a word boundary must follow `fig.`, so `Fig. 3` is none.
 CAPTION = r"^(?i)\s*(figure|fig\.|table)\b"
 NOISE = r"^(?i)(orcid\s*:?\s*\d{4}-\d{4}-\d{4}-\d{3}[0-9x]|\s*\d+\s*$|www\.|https?://|[\w.-]+@[\w.-]+\.\w+$|(19|20)\d{2}\s*(vol\.|volume)?\s*\d+)"
 NUMBERED_CAPTION = r"^(?i)(figure|fig\.|table)\s*\d+|^(图|表)\s*\d+|^(?i)(fig\.?|table|chart|diagram)\s*[a-z]?\d+"

@@ -18,7 +18,9 @@ CATEGORIES = (
     ("definition", ("defined", "definition", "classified", "定义", "分类")),
     ("result", ("result", "found", "showed", "conclude", "发现", "结果", "结论")),
 )
+#: Words that raise a candidate's or a key line's score.
 SIGNALS = ("significant", "increase", "decrease", "risk", "associated")
+KEY_SIGNALS = ("risk", "increase", "decrease", "outcome", "associated", "repair", "tear")
 MAX_CANDIDATES = 160
 
 
@@ -86,7 +88,7 @@ def themes(facts: DataFrame) -> DataFrame:
 def key_lines(facts: DataFrame, most: int = 8) -> DataFrame:
     """A document's best statements for a summary."""
     low = F.lower("statement")
-    score = F.least(F.lit(60), F.size(words(F.col("statement")))) + F.when(F.col("category") != "none", 12).otherwise(0) + F.when(any_of(low, ("risk", "increase", "decrease", "outcome", "associated", "repair", "tear")), 10).otherwise(0)
+    score = F.least(F.lit(60), F.size(words(F.col("statement")))) + F.when(F.col("category") != "none", 12).otherwise(0) + F.when(any_of(low, KEY_SIGNALS), 10).otherwise(0)
     r = facts.where(~is_noise_statement(F.col("statement"))).withColumn("s", score).withColumn("r", F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("s"), "ord")))
     return r.where(F.col("r") <= most).select("doc_id", F.concat(F.lit("line_"), "fact_id").alias("line_id"), F.substring("statement", 1, 200).alias("statement"), F.col("r").alias("rank"))
 
