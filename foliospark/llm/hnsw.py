@@ -27,7 +27,7 @@ EVERY = 20
 SHARD = 8192
 DEGREE = 16
 CANDIDATES = 48
-BEAM = 80
+BEAM = 120
 QUERY_BLOCK = 512
 #: Query blocks that one task searches in a shard.
 CHUNK = 16
