@@ -75,3 +75,12 @@ def token_similarity(a: Column, b: Column) -> Column:
 def reference_key(doi: Column, pmid: Column, title: Column, year: Column) -> Column:
     key = F.trim(F.regexp_replace(F.lower(title), "[^a-z0-9]+", " "))
     return F.when(F.coalesce(doi, F.lit("")) != "", F.concat(F.lit("doi:"), F.lower(doi))).when(F.coalesce(pmid, F.lit("")) != "", F.concat(F.lit("pmid:"), pmid)).otherwise(F.concat(F.lit("title:"), key, F.lit("|year:"), F.coalesce(year.cast("string"), F.lit(""))))
+
+
+def repair_hyphens(c: Column) -> Column:
+    """Wrapped words: a soft hyphen before a lower-case piece goes with the blank, before another it leaves a blank; a
+    hard hyphen keeps its place and loses the blank before a lower-case piece."""
+    letter = r"\p{L}"
+    t = F.regexp_replace(c, rf"(?<![\p{{L}}\d_])({letter}{{2,}})­[\s ]+(\p{{Ll}}{letter}+)(?![\p{{L}}\d_])", "$1$2")
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\d_])({letter}{{2,}})­[\s ]+({letter}{{2,}})(?![\p{{L}}\d_])", "$1 $2")
+    return clean_line(F.regexp_replace(t, rf"(?<![\p{{L}}\d_])({letter}{{3,}})-[\s ]+(\p{{Ll}}{letter}+)(?![\p{{L}}\d_])", "$1-$2"))

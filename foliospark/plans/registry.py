@@ -7,21 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import assets, citations, gates, layout, paragraphs, reading, render, telemetry
 from ..sources import html
-from .derive import LINES_SQL, derived, lines, with_tables
-
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = with_tables(sql)
-        return f
-
-    return add
-
+from . import structure  # noqa: F401  registers its queries
+from .base import ORACLE_SQL, QUERIES, query
+from .derive import LINES_SQL, derived, lines
 
 _TEMPLATE = "substring(trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(regexp_replace(text, '[\\s ]+', ' ', 'g'))), '[0-9]+', '#', 'g'), '[^a-z# ]', ' ', 'g'), ' +', ' ', 'g')), 1, 180)"
 _CAPTION = "(text LIKE 'Fig. %' OR text LIKE 'Table %')"
