@@ -70,36 +70,100 @@ def unique_texts(lines: DataFrame) -> DataFrame:
     return lines.withColumn("text", t).where("text <> ''").withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
 
-def repair_boundaries(paragraphs: DataFrame, max_chars: int = 100_000) -> DataFrame:
-    """doc_id, first_ord, n, text: paragraphs merged while the text so far lacks an end mark and the next begins in
-    lower case; `word-` and a following lower-case piece lose the hyphen. The merged text meets the next test, so this
-    is a fold in order over each partition's sorted documents; it holds one merged text at a time."""
+#: Heads that open a section; verbs that continue a sentence after a citation.
+SECTION_CUE = r"^(results|discussion|materials\s+and\s+methods|methods|introduction|conclusion|background|clinical\s+study|cadaveric\s+study)\b"
+CITING_VERBS = ("developed", "demonstrated", "employed", "found", "introduced", "prepared", "reported", "showed", "used")
+
+
+def continues(prev: tuple, now: tuple, n: int | None = None) -> str | None:
+    """How a paragraph continues the one before it: "wrap" (a divided word), "blank" (a sentence goes on), None (not).
+
+    Both are (text, page, x, y, noise): a cleaned text, its page, the centre's place in the page's bounds from 0 to 1 and
+    whether it looks like a table row; n is the number of words before, for a text given by its two ends. A divided word needs a tail of four letters, or of two or three at a turn from the
+    left column's lower to the right column's upper part, or an acronym before a number. A sentence goes on in lower case
+    after six words without end mark, in the same column or at such a turn or page turn; after ten words that end in a
+    citation it goes on with a verb of reporting. Entries of bibliographies and section heads never continue."""
+    import re
+
+    (text, page, x, y, noise), (nxt, next_page, nx, ny, next_noise) = prev, now
+    if not text or not nxt or re.match(SECTION_CUE, nxt, re.I):
+        return None
+    lower, turn = re.match(r"[a-z][a-z\-']*\b", nxt), x <= 0.46 and nx >= 0.54
+    back, same = turn and ny + 0.2 < y, abs(x - nx) <= 0.2
+    if text.endswith("-") and not text[-2:-1].isspace():
+        numbered = re.search(r"\b[A-Z]{2,}-$", text) and re.match(r"\d+(?:\s*[,.;:])?(?:\s|$)", nxt)
+        tail = len(re.search(r"([^\W\d_]*)-$", text).group(1))
+        fits = tail >= 4 or (tail >= 2 and (numbered or (back and nxt[0].islower())))
+        if fits and (lower or numbered) and (ny - y <= (0.4 if tail >= 4 else 0.25) if same else back or (turn and abs(ny - y) <= 0.08)):
+            return "wrap"
+    entry = r"(?:references\s*[:\-]?\s*)?(?:\d+[.)]\s+|\[\d+\]|et al)"
+    if not lower or next_noise or re.match(entry, text, re.I) or re.match(entry, nxt, re.I):
+        return None
+    n = len(text.split()) if n is None else n
+    if n >= 6 and text[-1] not in ".!?" and ((0 < next_page - page <= 4 and y >= 0.62 and ny <= 0.38) or back or (same and ny - y <= 0.4)):
+        return "blank"
+    if n >= 10 and not noise and re.search(r"\[\s*\d+[a-z]?\s*\]$", text) and nxt.split()[0].lower() in CITING_VERBS:
+        return "blank"
+    return None
+
+
+def trim_numeric_lead(text: str, noise: bool = False) -> str:
+    """Without a first sentence of at most 30 words that opens like `2, BMP-4`, if a fresh sentence follows."""
+    import re
+
+    m = None if noise else re.match(r"\d+\s*,\s*[A-Z]{2,}-\d+\b.*?[.!?](?:\s+|$)", text)
+    rest = text[m.end() :].strip() if m else ""
+    first = re.search("[A-Za-z0-9]", rest)
+    return rest if first and not first.group().islower() and len(m.group().split()) <= 30 else text
+
+
+def repair_boundaries(paragraphs: DataFrame) -> DataFrame:
+    """doc_id, first_ord, n, text: paragraphs(doc_id, ord, page, x0, y0, x1, y1, text) joined to those they continue
+    (`continues`). The merged text meets the next test at its last piece's place, so this is a fold in order over each
+    partition's sorted documents; it holds one merged text at a
+    time and tests only its ends, so long merges cost no more than their length. Places and table noise come from the JVM; a merged
+    text counts as noise as its first piece does. Null and blank texts are left out."""
 
     import pyarrow as pa
 
+    from .tables import is_noise
+
     names = ["doc_id", "first_ord", "n", "text"]
 
     def fold(batches):
-        now = None  # doc_id, first_ord, n, text
+        now, ends, words_, at = None, "", 0, None  # [doc_id, first_ord, n, pieces]; both ends of the text; its words; place
+
+        def done():
+            return [*now[:3], trim_numeric_lead("".join(now[3]), at[3])]
+
         for batch in batches:
             out = []
-            for doc, ord_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                t = " ".join((text or "").split())
-                if not t:
-                    continue
-                if now is not None and now[0] == doc and t[:1].islower() and now[3][-1] not in ".!?:" and len(now[3]) + len(t) < max_chars:
-                    hyphen = now[3].endswith("-") and now[3][-2:-1].isalpha()
-                    now[2:] = [now[2] + 1, now[3][:-1] + t if hyphen else now[3] + " " + t]
-                    continue
-                if now is not None:
-                    out.append(now)
-                now = [doc, ord_, 1, t]
+            for doc, ord_, text, page, x, y, noise in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = text.count(" ") + 1
+                how = continues((ends, *at), (text, page, x, y, noise), words_) if now is not None and now[0] == doc else None
+                if how == "wrap":
+                    now[3][-1] = now[3][-1][:-1]
+                    now[3].append(text)
+                elif how:
+                    now[3].append(" " + text)
+                else:
+                    if now is not None:
+                        out.append(done())
+                    now, ends, words_, at = [doc, ord_, 0, [text]], "", 0, (page, x, y, noise)
+                now[2], at = now[2] + 1, (page, x, y, at[3])
+                ends = text if not ends else ends[:-1] + text if how == "wrap" else ends + " " + text
+                ends = ends if len(ends) <= 800 else ends[:400] + ends[-400:]
+                words_ += n - (how == "wrap")
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
         if now is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in now], names)
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in done()], names)
 
-    rows = paragraphs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ord").cast("long").alias("ord"), "text")
+    t = clean_line(F.col("text"))
+    placed = paragraphs.join(page_bounds(paragraphs), ["doc_id", "page"])
+    x = ((F.col("x0") + F.col("x1")) / 2 - F.col("bx0")) / F.greatest(F.lit(1e-6), F.col("bx1") - F.col("bx0"))
+    y = ((F.col("y0") + F.col("y1")) / 2 - F.col("by0")) / F.greatest(F.lit(1e-6), F.col("by1") - F.col("by0"))
+    rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ord").cast("long").alias("ord"), t.alias("text"), F.col("page").cast("long").alias("page"), x.alias("x"), y.alias("y"), is_noise(F.col("text")).alias("noise")).where("text <> ''")
     return rows.repartition("doc_id").sortWithinPartitions("doc_id", "ord").mapInArrow(fold, "doc_id long, first_ord long, n long, text string")
 
 

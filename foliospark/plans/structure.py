@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import repair_hyphens
-from ..operators import layout, paragraphs, roles, sequences, tables
+from ..operators import citations, layout, paragraphs, roles, sequences, tables
 from .base import query
 from .derive import LINES_SQL, derived, lines
 
@@ -189,3 +189,39 @@ _WRAPPED = "SELECT doc_id, ord, replace(replace(text, ' of ', '- of '), ' had',
 @query(f"WITH w AS ({_WRAPPED}) SELECT doc_id, ord, trim(regexp_replace(text, '\\b([A-Za-z]{{3,}})-\\s+([a-z][A-Za-z]+)\\b', '\\1-\\2', 'g')) AS text FROM w")
 def hyphen_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, _WRAPPED, "blocks").select("doc_id", "ord", repair_hyphens(F.col("text")).alias("text"))
+
+
+_TEXTS = "SELECT doc_id, para_id, page, CONCAT(text, CASE WHEN ord % 4 = 0 THEN CONCAT(' [', CAST(ord AS STRING), ', ', CAST(ord + 2 AS STRING), ']') WHEN ord % 4 = 1 THEN ' (3)' WHEN ord % 4 = 2 THEN CONCAT(' (', CAST(ord AS STRING), ';9)') ELSE ' see ref (4) too' END) AS text, doc_id % 13 = 0 AND ord = 2 AS is_reference FROM paragraphs"
+
+
+@query(f"""WITH p AS ({_TEXTS}), o AS (SELECT doc_id, para_id, page, text, is_reference, split_part(para_id, '_', 3)::BIGINT AS ord FROM p WHERE NOT is_reference),
+n AS (SELECT doc_id, para_id, page, unnest(CASE ord % 4 WHEN 0 THEN [ord, ord + 2] WHEN 1 THEN [] WHEN 2 THEN list_distinct([ord, 9]) ELSE [4] END) AS n FROM o) SELECT doc_id, para_id, page, '[' || n || ']' AS anchor_text FROM n""")
+def inline_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.inline_anchors(_sql(spark, sf_dir, _TEXTS, "paragraphs"))
+
+
+_LINKS = "SELECT doc_id, anchor_id, CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id % 7 AS STRING) ELSE anchor_text END AS anchor_text, link_type, CASE WHEN doc_id % 6 = 0 THEN CONCAT('x-bib-000', CAST(doc_id % 5 AS STRING)) WHEN doc_id % 6 = 3 THEN 'sec-2' ELSE NULL END AS dest_name, CASE WHEN anchor_text LIKE 'http%' THEN 'resource_link' ELSE 'citation_marker' END AS anchor_type, CAST(NULL AS STRING) AS nearest_para_id FROM anchors"
+_KEYED = "SELECT doc_id, marker, ord, CONCAT('bib:', CAST(ord AS STRING)) AS ref_key FROM refs"
+
+
+@query(f"""WITH l AS ({_LINKS}), k AS ({_KEYED}) SELECT doc_id, anchor_id, CASE WHEN anchor_type = 'citation_marker' AND (regexp_matches(anchor_text, '^[1-9]$') AND NOT EXISTS (SELECT 1 FROM k WHERE k.doc_id = l.doc_id AND k.marker = try_cast(l.anchor_text AS INT)) OR (link_type = 'internal' AND dest_name IS NOT NULL AND (dest_name = 'sec-2' OR dest_name LIKE '%-0000'))) THEN 'structural_link' ELSE anchor_type END AS anchor_type FROM l""")
+def demoted_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.demote(_sql(spark, sf_dir, _LINKS, "anchors"), _sql(spark, sf_dir, _KEYED, "refs")).select("doc_id", "anchor_id", "anchor_type")
+
+
+@query()
+def citation_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = roles.reference_paragraphs(_sql(spark, sf_dir, _ENTRIES, "refs")).where("is_reference").join(_sql(spark, sf_dir, _ENTRIES, "refs"), ["doc_id", "para_id"])
+    return citations.map_citations(_sql(spark, sf_dir, _LINKS, "anchors"), _sql(spark, sf_dir, _KEYED, "refs"), entries)
+
+
+_POINTS = "SELECT doc_id, CONCAT('a', CAST(ord AS STRING)) AS anchor_id, CONCAT('bib:', CAST(ord AS STRING)) AS ref_key, 'internal_dest' AS strategy, confidence FROM refs"
+_PDF = "SELECT doc_id, CONCAT('bib:', CAST(ord AS STRING)) AS ref_key, title, venue AS author, year FROM refs"
+_API = "SELECT doc_id, CONCAT('doi:', COALESCE(doi, 'none'), CAST(ord AS STRING)) AS ref_key, title, venue AS author, year, doi, confidence FROM refs WHERE kind = 'api'"
+
+
+@query(f"""WITH p AS ({_POINTS}), e AS ({_PDF}), m AS ({_API}), t AS (SELECT doc_id, lower(title) AS title, year, min(ref_key) AS k, arg_min(confidence, ref_key) AS sure FROM m WHERE title <> '' GROUP BY ALL), s AS (SELECT doc_id, lower(author) AS author, year, arg_min(doi, ref_key) AS doi FROM m WHERE author <> '' AND doi <> '' GROUP BY ALL)
+SELECT p.doc_id, anchor_id, CASE WHEN t.k IS NOT NULL THEN t.k WHEN s.doi IS NOT NULL THEN 'doi:' || lower(s.doi) ELSE ref_key END AS ref_key, CASE WHEN t.k IS NULL AND s.doi IS NOT NULL THEN 'author_year_match' ELSE strategy END AS strategy, CASE WHEN t.k IS NOT NULL THEN greatest(confidence, sure) WHEN s.doi IS NOT NULL THEN 0.75 ELSE confidence END AS confidence
+FROM p JOIN e USING (doc_id, ref_key) LEFT JOIN t ON t.doc_id = p.doc_id AND t.title = lower(e.title) AND t.year = e.year LEFT JOIN s ON s.doc_id = p.doc_id AND s.author = lower(e.author) AND s.year = e.year""")
+def resolved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.resolve_keys(_sql(spark, sf_dir, _POINTS, "refs"), _sql(spark, sf_dir, _PDF, "refs"), _sql(spark, sf_dir, _API, "refs"))

@@ -81,10 +81,79 @@ def test_fault_classes_and_stream_twin(spark):
     assert [(x.category, x.n) for x in fault_counts(e).collect()] == [("parse/validation", 1)]
 
 
+def test_boundary_rules():
+    def how(a, b, x=(0.3, 0.3), y=(0.8, 0.2), page=(1, 1)):
+        return paragraphs.continues((a, page[0], x[0], y[0], False), (b, page[1], x[1], y[1], b.startswith("row")))
+
+    assert how("effe-", "ctive improvement") == how("effect-", "tive results") == "wrap"
+    assert how("effect-", "Results") is None
+    assert how("effect-", "tive", y=(0.3, 0.9)) is None
+    assert how("re-", "cruitment process", x=(0.3, 0.65), y=(0.8, 0.15)) == "wrap"
+    assert how("re-", "cruitment") is how("re-", "cruitment", x=(0.3, 0.65), y=(0.3, 0.5)) is how("re-", "Recruitment", x=(0.3, 0.65), y=(0.8, 0.15)) is None
+    assert how("upregulation of BMP-", "2, BMP-4, IGF-2 pathways were detected", x=(0.72, 0.74), y=(0.78, 0.86)) == "wrap"
+    assert how("there remains some contro-", "versy regarding effects", x=(0.3, 0.78), y=(0.9, 0.9)) == "wrap"
+    long = "In short, the distinctive material architecture enables robust transport"
+    turn = {"x": (0.78, 0.22), "y": (0.83, 0.2), "page": (10, 11)}
+    assert how(long, "physicochemical properties of graphene", **turn) == "blank"
+    assert how(long, "row 1 2 3 4 5", **turn) is None
+    cited = "These signals facilitated cell recruitment and promoted cartilage formation. Damaraju et al. [ 159c ]"
+    far = {"x": (0.2, 0.9), "y": (0.2, 0.9)}
+    assert how(cited, "developed a pliable scaffold.", **far) == "blank"
+    assert how("1. Damaraju et al. [ 159c ]", "developed a pliable scaffold.", **far) is None
+    assert paragraphs.trim_numeric_lead("2, BMP-4, IGF-2, and VEGF in osteoblasts. Notably, it grew.") == "Notably, it grew."
+
+
 def test_boundary_repair(spark):
-    rows = [(1, 1, "effe-"), (1, 2, "ctive improvement"), (1, 3, "Results follow."), (2, 1, None), (2, 2, "lower start")]
-    out = paragraphs.repair_boundaries(spark.createDataFrame(rows, "doc_id int, ord int, text string")).collect()
-    assert sorted((r.doc_id, r.n, r.text) for r in out) == [(1, 1, "Results follow."), (1, 2, "effective improvement"), (2, 1, "lower start")]
+    rows = [(1, 1, "effe-", 10.0, 90.0), (1, 2, "ctive improvement", 10.0, 93.0), (1, 3, "Results follow.", 10.0, 100.0), (2, 1, None, 0.0, 0.0), (2, 2, "lower start", 0.0, 50.0), (3, 1, "one two three four five six " * 200, 0.0, 0.0)]
+    rows += [(3, i, "and so on it goes", 0.0, float(i)) for i in range(2, 500)]
+    df = spark.createDataFrame([(d, o, 1, x, y, x + 5, y + 1, t) for d, o, t, x, y in rows], "doc_id int, ord int, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    out = sorted((r.doc_id, r.n, r.text) for r in paragraphs.repair_boundaries(df).collect())
+    assert out[:3] == [(1, 1, "Results follow."), (1, 2, "effective improvement"), (2, 1, "lower start")]
+    assert out[3][1] == 499 and out[3][2] == " ".join(["one two three four five six"] * 200 + ["and so on it goes"] * 498)
+
+
+def test_inline_anchors(spark):
+    given = ["Results improved (1) with n=20 compared.", "Prior studies (1,2;4-5) support this.", "See ref (3) for details.", "As said (7), a reference.", "Both [2, 3] and [2].", None]
+    rows = [(1, f"p{i}", 1, t, False) for i, t in enumerate(given)] + [(1, "list", 1, "[1] An entry", True)]
+    found = citations.inline_anchors(spark.createDataFrame(rows, "doc_id int, para_id string, page int, text string, is_reference boolean")).collect()
+    of = {}
+    for r in found:
+        of.setdefault(r.para_id, []).append(r.anchor_text)
+    assert of == {"p1": ["[1]", "[2]", "[4]", "[5]"], "p2": ["[3]"], "p3": ["[7]"], "p4": ["[2]", "[3]", "[2]"]}
+
+
+ANCHOR = "doc_id int, anchor_id string, anchor_text string, link_type string, dest_name string, anchor_type string, nearest_para_id string"
+
+
+def test_citation_mapping(spark):
+    refs = spark.createDataFrame([(1, 1, 1, "doi:10.1/one"), (1, 1, 2, "doi:10.1/two"), (1, 4, 3, "bib:ref_x")], "doc_id int, marker int, ord int, ref_key string")
+    paras = spark.createDataFrame([(1, "p1", "[9] Doe, J. Study. 2019. 10.1000/nine")], "doc_id int, para_id string, text string")
+    cite = "citation_marker"
+    rows = [
+        ("a", "[1]", "inline", None, cite, None, "doi:10.1/one", "internal_dest"), ("b", "[2-4]", "inline", None, cite, None, "bib:ref_x", "internal_dest"), ("c", "[7]", "internal", "adfm202314079-bib-0007", cite, None, "bib:dest_0007", "internal_dest"),
+        ("d", "see 10.1000/ABC.", "external", None, cite, None, "doi:10.1000/abc", "regex"), ("e", "[8]", "inline", None, cite, None, None, "none"), ("f", "home", "external", None, "resource_link", None, None, "none"),
+        ("g", None, "internal", None, cite, "p1", "doi:10.1000/nine", "internal_dest"), ("h", None, "external", None, cite, None, None, "none"), ("i", "PMID: 1234567", "external", None, cite, None, "pmid:1234567", "regex"),
+    ]
+    anchors = spark.createDataFrame([(1, *r[:6]) for r in rows], ANCHOR)
+    got = {r.anchor_id: (r.ref_key, r.strategy) for r in citations.map_citations(anchors, refs, paras).collect()}
+    assert got == {r[0]: r[6:] for r in rows}
+    free = citations.map_citations(spark.createDataFrame([(2, "a", "[1] Smith, J. A wide study. 2019", "inline", None, cite, None)], ANCHOR), refs, paras).first()
+    assert free.ref_key.startswith("bib:smith_2019_") and free.confidence == 0.62
+
+
+def test_demotion(spark):
+    refs = spark.createDataFrame([(1, 2, "bib:x")], "doc_id int, marker int, ref_key string")
+    rows = [(1, "a", "1", "inline", None, "citation_marker", None), (1, "b", "2", "inline", None, "citation_marker", None), (1, "c", "[1]", "inline", None, "citation_marker", None), (1, "d", "[1]", "internal", "sec-3", "citation_marker", None), (1, "e", "[1]", "internal", "bib3", "citation_marker", None)]
+    got = {r.anchor_id: r.anchor_type for r in citations.demote(spark.createDataFrame(rows, ANCHOR), refs).collect()}
+    assert got == {"a": "structural_link", "b": "citation_marker", "c": "citation_marker", "d": "structural_link", "e": "citation_marker"}
+
+
+def test_resolution_by_title_and_author(spark):
+    mapped = spark.createDataFrame([(1, c, k, "internal_dest", 0.86) for c, k in (("a", "doi:10.1/m"), ("b", "bib:t"), ("c", "bib:y"), ("d", "bib:z"), ("e", None))], "doc_id int, anchor_id string, ref_key string, strategy string, confidence double")
+    entries = spark.createDataFrame([(1, "bib:t", "A Wide Study 2020", "x", 2020), (1, "bib:y", "Other", "Doe", 2019), (1, "bib:z", "Third", "roe", 2018)], "doc_id int, ref_key string, title string, author string, year int")
+    merged = spark.createDataFrame([(1, "doi:10.1/m", "A wide study", "poe", 2020, "10.1/m", 0.95), (1, "doi:10.1/n", "Unlike", "doe", 2019, "10.1/N", 0.5)], "doc_id int, ref_key string, title string, author string, year int, doi string, confidence double")
+    got = {r.anchor_id: (r.ref_key, r.strategy, r.confidence) for r in citations.resolve_keys(mapped, entries, merged).collect()}
+    assert got == {"a": ("doi:10.1/m", "internal_dest", 0.86), "b": ("doi:10.1/m", "internal_dest", 0.95), "c": ("doi:10.1/n", "author_year_match", 0.75), "d": ("bib:z", "internal_dest", 0.86), "e": (None, "internal_dest", 0.86)}
 
 
 def test_json_lines(spark, tmp_path):
