@@ -64,10 +64,10 @@ def is_compact_label(c: Column) -> Column:
     return F.length(t).between(1, 72) & n.between(1, 9) & (marked | (lower <= F.greatest(F.lit(1), F.floor(n / 3)))) & (short >= F.greatest(F.lit(2), F.floor(n / 2))) & ((upper >= 1) | marked)
 
 
-def is_boxed_sidebar(c: Column, size: Column, bold: Column) -> Column:
-    """Small print of boxes: bullets, classification heads, labels of patient tables."""
-    low, w = F.lower(c), words(c)
-    n, lower = F.size(w), lower_share(w)
+def is_boxed_sidebar(c: Column, size: Column, bold: Column, n: Column, lower: Column) -> Column:
+    """Small print of boxes: bullets, classification heads, labels of patient tables; n words, a share `lower` of them in
+    lower case."""
+    low = F.lower(c)
     rules = (
         (count_of(c, "[•▪■◦]") >= 4) & (n <= 72) & (lower <= 0.55),
         F.contains(low, F.lit("classification")) & (n <= 14) & bold & (lower <= 0.72),
@@ -107,10 +107,10 @@ def author_segments(c: Column) -> Column:
     return F.filter(bare, named)
 
 
-def metadata_role(t: Column, page: Column, y: Column) -> Column:
-    """keywords, doi, received, journal_meta, affiliation_meta or author_meta on the first two pages, else null."""
-    low, w = F.lower(t), words(t)
-    n, digits, lower, doi = F.size(w), F.size(F.filter(w, has_digit)), lower_share(w), F.contains(F.lower(t), F.lit("doi"))
+def metadata_role(t: Column, page: Column, y: Column, n: Column, digits: Column, title: Column, lower: Column) -> Column:
+    """keywords, doi, received, journal_meta, affiliation_meta or author_meta on the first two pages, else null; n words,
+    digits of them with a digit, title and lower the shares of title-case and lower-case words."""
+    low, doi = F.lower(t), F.contains(F.lower(t), F.lit("doi"))
     email, keyed = F.contains(t, F.lit("@")), low.rlike("^key ?words:")
     place, marked = contains_any(low, AFFILIATION), t.rlike(r"^\d{1,3}(?:\s+|\*+\s*|\)+\s*|\.\s*)(?=[A-Za-z])")
     citation = t.rlike(r"^[A-Z]{2,}\s+\d{4};\s*\d+[–:：-]\d+|^\d{4}[–-]\d{3}[\dXx](?:/\d+)?") | (F.contains(low, F.lit("et al")) & t.rlike(r"^[A-Z][a-zA-Z'`-]+\s+[A-Z],"))
@@ -122,7 +122,7 @@ def metadata_role(t: Column, page: Column, y: Column) -> Column:
         .when((n <= 45) & ((hits(low, JOURNAL) >= 2) | F.contains(t, F.lit("©"))), "journal_meta")
         .when((n <= 18) & citation, "journal_meta")
         .when((y <= 0.97) & n.between(4, 90) & (email | marked | place | low.startswith("address correspondence")) & (lower <= 0.78), "affiliation_meta")
-        .when((y <= 0.72) & n.between(2, 90) & (title_share(w) >= 0.45) & (lower <= 0.75) & ~email & ~place & ~low.startswith("keywords:") & ~doi & (F.size(author_segments(t)) >= 1),
+        .when((y <= 0.72) & n.between(2, 90) & (title >= 0.45) & (lower <= 0.75) & ~email & ~place & ~low.startswith("keywords:") & ~doi & (F.size(author_segments(t)) >= 1),
               F.when((digits >= F.greatest(F.lit(1), F.floor(n / 2))) & marked, "affiliation_meta").otherwise("author_meta")),
     )
 
@@ -141,8 +141,11 @@ def clean_roles(roled: DataFrame, profile: DataFrame | None = None, repeated: Da
         b = b.join(profile, "doc_id", "left")
     if repeated is not None:
         b = b.join(repeated.select("doc_id", "block_id", "n", "n_blocks", "is_nuisance"), ["doc_id", "block_id"], "left")
-    t, w, role, size = F.col("_t"), words(F.col("_t")), F.col("role"), F.coalesce("font_size", F.lit(0.0))
-    n, title, digits, bold = F.size(w), title_share(w), F.size(F.filter(w, has_digit)), F.coalesce("is_bold", F.lit(False))
+    # What many rules read is computed once, in projections of its own.
+    w = F.col("_w")
+    b = b.withColumn("_w", F.array_remove(F.split("_t", " "), "")).withColumns({"_n": F.size(w), "_title": title_share(w), "_lower": lower_share(w), "_digits": F.size(F.filter(w, has_digit)), "_kind": caption_kind(F.col("_t"))})
+    t, role, size, n, title, digits, lower = F.col("_t"), F.col("role"), F.coalesce("font_size", F.lit(0.0)), F.col("_n"), F.col("_title"), F.col("_digits"), F.col("_lower")
+    bold = F.coalesce("is_bold", F.lit(False))
     candidate, open_end = F.coalesce("is_heading", F.lit(False)), ~t.rlike("[.;:]$")
     shown = F.lit(False)
     if profile is not None:
@@ -153,11 +156,11 @@ def clean_roles(roled: DataFrame, profile: DataFrame | None = None, repeated: Da
     noise = F.coalesce("is_nuisance", F.lit(False)) if repeated is not None else F.lit(False)
     often = F.coalesce((F.col("n") >= 3) & (F.col("n") >= 0.6 * F.col("n_blocks")), F.lit(False)) if repeated is not None else F.lit(False)
     entry = n.between(4, 55) & (t.rlike(r"^\d+[.)]\s+|^\[\d+\]") | F.lower(t).rlike("^references[ :]")) & (count_of(t, r"\.") >= 2)
-    meta = F.when(~t.rlike(r"^\d+(?:\.\d+)*\.\s+[A-Za-z]"), metadata_role(t, F.col("page"), F.col("_y")))
+    meta = F.when(~t.rlike(r"^\d+(?:\.\d+)*\.\s+[A-Za-z]"), metadata_role(t, F.col("page"), F.col("_y"), n, digits, title, lower))
     clean = (
         F.when(noise, "nuisance").when(role == "FigureCaption", "figure_caption").when(role == "TableCaption", "table_caption")
         .when(role.isin("TableHeader", "TableData", "Sidebar"), "nuisance").when(role == "ReferenceList", "reference_entry")
-        .when(caption_kind(t).isNotNull(), caption_kind(t)).when(is_compact_label(t) | is_boxed_sidebar(t, size, bold), "nuisance")
+        .when(F.col("_kind").isNotNull(), F.col("_kind")).when(is_compact_label(t) | is_boxed_sidebar(t, size, bold, n, lower), "nuisance")
         .when((F.col("page") == 1) & (F.col("_y") <= 0.35) & (n >= 6) & ((role == "Heading") | candidate | (bold & (size >= 13))), "main_title")
         .when(shown | (role == "Heading") | (candidate & (n <= 16) & (title >= 0.55) & open_end & (digits <= 2)), "section_heading")
         .when(entry, "reference_entry").when(often & meta.isin("journal_meta", "received"), "nuisance").otherwise(F.coalesce(meta, F.lit("body_text")))

@@ -51,11 +51,13 @@ def table_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("doc_id", "line_no", tables.is_noise(F.col("text")).alias("is_noise"))
 
 
+_CELLS = "SELECT doc_id, CAST(ord AS BIGINT) AS ord, CASE WHEN ord % 4 = 3 THEN CONCAT(text, ' in every one of the cases of this study.') ELSE CONCAT('Low cost; ', CAST(ord AS STRING), ' mm') END AS text FROM blocks"
+
+
 @query()
 def artifact_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines(spark, sf_dir)
-    owned = found.select("doc_id").distinct().withColumn("n_tables", F.col("doc_id") % 3)
-    return tables.artifact_spans(found.withColumnRenamed("line_no", "ord"), owned)
+    cells = _sql(spark, sf_dir, _CELLS, "blocks")
+    return tables.artifact_spans(cells, cells.select("doc_id", (F.col("doc_id") % 3).alias("n_tables")).distinct())
 
 
 _TALL = "SELECT doc_id, ord, asset_id, caption_id, x0, x1, y0, y0 + 4 * (y1 - y0) AS y1 FROM assets"
