@@ -154,7 +154,7 @@ def _half_ranks(own: DataFrame, firsts: DataFrame, length: int, seed: int) -> Da
     near = W.partitionBy("k", "side", "rank").orderBy("doc_id", "start")
     twice = F.lag("doc_id").over(near).isNotNull() | F.lead("doc_id").over(near).isNotNull()
     left = ranked.withColumn("twice", twice).where("n > 0 and (twice or stays = 1)")
-    return left.groupBy("doc_id").agg(F.collect_list(F.struct("k", "start", "n")).alias("look"))
+    return left.groupBy("doc_id").agg(F.collect_set(F.struct("k", "start", "n")).alias("look"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
@@ -193,7 +193,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
         return step
 
     ranked = map_batches(own.join(closer, "doc_id").select("doc_id", "text", "look"), strings, one, limit=STEP)
-    again = ranked.withColumn("n", F.row_number().over(W.partitionBy("k", "h").orderBy("doc_id", "start"))).where("n > 1").select("doc_id", "start", F.lit(1).cast("long").alias("starts"))
+    # rank, not row_number: a doc_id in several rows gives the same (doc_id, start) again, which is no earlier copy
+    again = ranked.withColumn("n", F.rank().over(W.partitionBy("k", "h").orderBy("doc_id", "start"))).where("n > 1").select("doc_id", "start", F.lit(1).cast("long").alias("starts"))
     whole = split.where("k is null").select("doc_id", start.alias("start"), count.alias("starts"))
     return whole.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
 

@@ -64,6 +64,20 @@ def test_suffix_strip_keeps_columns_and_clean_texts(spark, corpus):
     assert out[65].text is None
 
 
+def test_suffixes_of_repeated_rows(spark):
+    rng = random.Random(21)
+    a, c = words(rng, 120, 9000), words(rng, 120, 9000)
+    texts = [a, "x " + a[60:140] + " y" + words(rng, 30, 9000), "z " + a[200:360] + " z", c, c]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([r for r in rows for _ in range(1 + 2 * (r[0] in (0, 2)))], DOC)
+    want = brute_suffix(texts)
+    assert want[0][1] == want[1][1] == 0 < want[2][1]
+    got = suffixes.removed(docs).collect()
+    assert len(got) == 9 and {tuple(r) for r in got} == {(i, *v) for i, v in want.items()}
+    kept = {(r.doc_id, r.text) for r in suffixes.strip(docs).collect()}
+    assert (0, a) in kept and len(kept) == len(texts)
+
+
 def brute_fp(t):
     low = "".join(c.lower() if c.isascii() else c for c in (t or ""))
     w = re.findall(r"[^\x20\x09-\x0D]+", low)
