@@ -1,11 +1,17 @@
 """Substring dedup by paragraph MinHash banding.
 
 Paragraphs are lines; inside a line a paragraph also ends at a sentence end (a word ending in . ! or ? before one that
-doesn't begin with a-z), so that a passage set into another text falls into the same paragraphs there. Words are those of the SimHash operator
+doesn't begin with a-z), so that a passage set into another text falls into the same paragraphs there. One of under
+MIN_WORDS words goes on through the short ones after it until it has enough. Words are those of the SimHash operator
 (A-Z lower-cased), shingles have five words. Paragraphs equal word for word are one class without further work. Of the
 others, those that share a band (6 bands of 2 rows: a pair of Jaccard similarity 0.8 is missed with probability
 0.36**6 = 0.0022) are joined with the other paragraphs in that bucket, the exact Jaccard similarity of their shingle
 sets is computed, and components of the links give the classes. In each class the first paragraph stays.
+
+Passages without a whole paragraph are found by chunks: CHUNK words, at the least hash of every WINDOW neighbouring
+starts (winnowing). Two texts that share CHUNK + WINDOW - 1 = 51 words in a row choose an equal chunk there, wherever
+lines and sentences end. A text of fewer words is one chunk. Chunks are compared word for word, and reported where
+reported paragraphs don't cover them.
 """
 
 from __future__ import annotations
@@ -19,14 +25,16 @@ from pyspark.sql import types as T
 
 from .arrow import map_batches, texts
 from .common import components, cut, table
-from .rolling import Prefix, labels, mix, point_offsets, signed
+from .rolling import Prefix, labels, mix, point_offsets, signed, sliding
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 6, 2
-#: Paragraphs with fewer words aren't compared.
+#: Paragraphs with fewer words are joined to the short ones that follow.
 MIN_WORDS = 10
-#: Runs of neighbouring repeated paragraphs with fewer words in all aren't reported: common short lines stay.
+#: Words of a chunk, and neighbouring starts of which one is chosen.
+CHUNK, WINDOW = 31, 21
+#: Runs of neighbouring repeated paragraphs with fewer words in all aren't reported: common short lines stay. Chunks have no such least.
 MIN_RUN_WORDS = 20
 #: Members of a bucket that one task compares; larger buckets are dealt to blocks and every pair of blocks is compared.
 BLOCK = 2048
@@ -43,7 +51,7 @@ _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 
 class Paragraphs:
     """Of a block of texts: doc (text number), number (among its text's paragraphs of enough words), start, end (code points), words, fp (of the word
-    sequence), and the shingles of paragraph i in shingles[first[i] : first[i] + count[i]]."""
+    sequence), word (place in its text), and the shingles of paragraph i in shingles[first[i] : first[i] + count[i]]."""
 
     def __init__(self, values: list[bytes], least: int = MIN_WORDS):
         raw = np.frombuffer(b"\n".join(values) + b"\n", np.uint8)
@@ -60,16 +68,22 @@ class Paragraphs:
         ends = gap | (((last == 46) | (last == 33) | (last == 63)) & ~small)
         close = np.flatnonzero(ends)
         first = np.concatenate([[0], close[:-1] + 1]).astype(np.int64) if len(close) else np.zeros(0, np.int64)
+        least = max(least, SHINGLE)
+        bounds = np.searchsorted(ws, np.append(begins, len(flat)))
+        of = np.repeat(np.arange(len(values)), np.diff(bounds))
+        close = self._joined(of, first, close, least)
         words = close - first + 1
-        keep = words >= max(least, SHINGLE)
+        keep = words >= least
         words, first, close = words[keep], first[keep], close[keep]
-        doc = np.searchsorted(begins, ws[first], side="right") - 1 if len(first) else first
+        doc = of[first]
         head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else doc
         number = np.arange(len(doc)) - np.repeat(head, np.diff(np.concatenate([head, [len(doc)]])))
         self.doc, self.number, self.words = doc, number, words
         points = point_offsets(flat)
-        base = points[begins[self.doc]]
-        self.start, self.end = points[ws[first]] - base, points[we[close]] - base
+        place = lambda doc, a, b: (points[ws[a]] - points[begins[doc]], points[we[b]] - points[begins[doc]])
+        self.word = first - bounds[doc]
+        self.start, self.end = place(doc, first, close)
+        self._words = (of, word, bounds, place)
         n = len(first)
         self.first = self.count = self.fp = np.zeros(0, np.int64)
         self.shingles = np.zeros(0, np.uint64)
@@ -82,6 +96,44 @@ class Paragraphs:
             self.first = np.cumsum(self.count) - self.count
             self.shingles = mix(five[np.repeat(first - self.first, self.count) + np.arange(self.count.sum())])
 
+    @staticmethod
+    def _joined(of: np.ndarray, first: np.ndarray, close: np.ndarray, least: int) -> np.ndarray:
+        """close, moved on for paragraphs of under `least` words through the short ones after them in the same text."""
+        small, last = close - first + 1 < least, np.arange(len(close))
+        for _ in range(least - 1):
+            to = np.minimum(last + 1, len(close) - 1)
+            grow = small & small[to] & (to > last) & (close[last] - first + 1 < least) & (of[first[to]] == of[first])
+            if not grow.any():
+                break
+            last = np.where(grow, to, last)
+        return close[last]
+
+    def chunks(self) -> tuple[np.ndarray, ...]:
+        """doc, number (after those of the text's paragraphs), start, end, words, fp, word (place in its text)."""
+        of, word, bounds, place = self._words
+        sizes, span = np.diff(bounds), CHUNK + WINDOW - 1
+        prefix = Prefix(np.arange(len(word)), word)
+        doc = np.flatnonzero((sizes > 0) & (sizes < span))
+        first, words = bounds[doc], sizes[doc]
+        fp = prefix.hash(first, first + words)
+        if sizes.max(initial=0) >= span:
+            h = np.maximum(prefix.fixed(CHUNK), np.uint64(1))
+            least = sliding(np.minimum, h, WINDOW)
+            least[of[: len(least)] != of[span - 1 :]] = 0
+            none = np.zeros(WINDOW - 1, np.uint64)
+            at = np.flatnonzero(sliding(np.maximum, np.concatenate([none, least, none]), WINDOW) == h)
+            # of equal chunks that overlap (periodic text) one for every CHUNK words is enough
+            new = np.concatenate([[True], (h[at[1:]] != h[at[:-1]]) | (at[1:] - at[:-1] >= CHUNK)])
+            turn = (at - at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]) // CHUNK
+            at = at[new | np.concatenate([[False], turn[1:] > turn[:-1]])]
+            first, words, fp = np.concatenate([first, at]), np.concatenate([words, np.full(len(at), CHUNK)]), np.concatenate([fp, h[at]])
+            order = np.argsort(first, kind="stable")
+            first, words, fp = first[order], words[order], fp[order]
+            doc = of[first]
+        before = np.bincount(self.doc, minlength=len(sizes))
+        number = before[doc] + np.arange(len(doc)) - np.searchsorted(doc, doc)
+        return doc, number, *place(doc, first, first + words - 1), words, signed(fp), first - bounds[doc]
+
     def bands(self) -> np.ndarray:
         least = [np.minimum.reduceat((self.shingles ^ x) * a, self.first) for a, x in zip(_ODD, _XOR, strict=True)]
         return np.stack([mix(sum((least[b * ROWS + r] * _K[r] for r in range(ROWS)), np.uint64(b * int(_K[4]) % (1 << 64)))) for b in range(BANDS)], 1)
@@ -193,10 +245,11 @@ def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """One row per paragraph of a class of two or more: doc_id, paragraph (number among those of enough words in its text), start, end (code
-    points), n_words, keeper_doc_id, keeper_paragraph (the class's first by doc_id and number), removed (not the first).
+    """One row per paragraph or chunk of a class of two or more: doc_id, paragraph (number among those of enough words in its text, then
+    its chunks), start, end (code points), n_words, keeper_doc_id, keeper_paragraph (the class's first by doc_id and number), removed
+    (not the first). Rows may overlap; a keeper that other rows cover has none of its own.
 
-    Null, empty and short texts give no rows; a text repeated under several doc_ids repeats all its paragraphs; texts
+    Null texts and texts without words give no rows; a text repeated under several doc_ids repeats all its paragraphs; texts
     of any length are compared whole; columns but doc_id (an integer, identifying a text) and text aren't read.
     """
     own = texts(docs).where("doc_id is not null")
@@ -204,14 +257,15 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int
     def make():
         def step(batch):
             p = Paragraphs(batch.column(1).to_pylist())
-            if not len(p.doc):
-                return None
-            return [pa.array(batch.column(0).to_numpy()[p.doc].astype(np.int64)), *(pa.array(np.ascontiguousarray(x, np.int64)) for x in (p.number, p.start, p.end, p.words, p.fp))]
+            whole = (p.doc, p.number, p.start, p.end, p.words, p.fp, p.word)
+            chunks = p.chunks()
+            doc, *columns = (np.concatenate(x).astype(np.int64) for x in zip(whole, chunks, strict=True))
+            return [pa.array(x) for x in (batch.column(0).to_numpy()[doc].astype(np.int64), *columns, np.arange(len(doc)) >= len(p.doc))]
 
         return step
 
-    units = cut(map_batches(own, make, _longs("doc_id", "paragraph", "start", "end", "n_words", "fp"), limit=STEP))
-    exact = cut(units.groupBy("fp").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("copies")))
+    units = cut(map_batches(own, make, _longs("doc_id", "paragraph", "start", "end", "n_words", "fp", "word").add("chunk", T.BooleanType()), limit=STEP))
+    exact = cut(units.groupBy("fp").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("copies"), F.max("chunk").alias("chunk")).where("copies > 1 or not chunk").drop("chunk"))
     members = cut(_buckets(own))
     near = members.select("fp").distinct().join(exact, "fp").groupBy("first.doc_id").agg(F.collect_list("first.paragraph").alias("numbers"))
 
@@ -234,9 +288,19 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int
     of = cut(named.join(heads, "class").select("fp", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.paragraph").alias("keeper_paragraph")))
     rows = units.join(of, "fp")
     order = W.partitionBy("doc_id").orderBy("paragraph")
-    run = rows.withColumn("_run", F.col("paragraph") - F.dense_rank().over(order)).withColumn("_words", F.sum("n_words").over(W.partitionBy("doc_id", "_run")))
+    end = F.col("word") + F.col("n_words")
+    run = rows.where("not chunk").withColumn("_run", F.col("paragraph") - F.dense_rank().over(order))
+    all_ = W.partitionBy("doc_id", "_run")
+    run = run.withColumn("_all", F.least(F.sum("n_words").over(all_), F.max(end).over(all_) - F.min("word").over(all_))).where(F.col("_all") >= min_run_words).drop("_run", "_all")
+    # stretches that the paragraphs left cover without a gap; a chunk inside one says nothing new
+    order = W.partitionBy("doc_id").orderBy("word", "chunk")
+    reach = F.max(F.when(~F.col("chunk"), end))
+    both = run.union(rows.where("chunk")).withColumn("_reach", reach.over(order.rowsBetween(W.unboundedPreceding, -1)))
+    both = both.withColumn("_stretch", F.sum(F.when(~F.col("chunk") & (F.col("_reach").isNull() | (F.col("word") > F.col("_reach"))), 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    both = both.withColumn("_reach", reach.over(W.partitionBy("doc_id", "_stretch")))
     removed = (F.col("doc_id") != F.col("keeper_doc_id")) | (F.col("paragraph") != F.col("keeper_paragraph"))
-    return run.where(F.col("_words") >= min_run_words).select("doc_id", "paragraph", "start", "end", "n_words", "keeper_doc_id", "keeper_paragraph", removed.alias("removed"))
+    left = both.where(~F.col("chunk") | F.col("_reach").isNull() | (F.col("_reach") < end))
+    return left.select("doc_id", "paragraph", "start", "end", "n_words", "keeper_doc_id", "keeper_paragraph", removed.alias("removed"))
 
 
 def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

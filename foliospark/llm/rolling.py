@@ -34,10 +34,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Prefix:
     """hash(a, b) of bytes [a, b) doesn't depend on where they stand."""
 
-    def __init__(self, flat: np.ndarray):
+    def __init__(self, flat: np.ndarray, letter: np.ndarray = LETTER):
         power, self.inverse = _powers(len(flat) + 1)
         self.sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(LETTER[flat] * power[:-1], out=self.sums[1:])
+        np.cumsum(letter[flat] * power[:-1], out=self.sums[1:])
 
     def hash(self, a, b) -> np.ndarray:
         return mix((self.sums[b] - self.sums[a]) * self.inverse[a])

@@ -152,6 +152,22 @@ def test_paragraphs_match_brute_force(spark):
     assert all(tuple(spans[k]) == at[k] for k in spans)
 
 
+def test_passages_without_whole_paragraphs(spark):
+    rng = random.Random(17)
+    say = lambda n: words(rng, n, 10**6)
+    short = ". ".join(f"S{say(4)}" for _ in range(14)) + "."
+    inside, tail = say(51), say(20)
+    texts = [short, short, say(80) + " " + inside + " " + say(80), say(33) + " " + inside.upper() + "\n" + say(70), "ok then", "ok then", tail + " " + say(70), tail + " " + say(60), say(200), "same " * 400, None, ""]
+    rows = minhash.repeated(make(spark, texts)).collect()
+    assert {r.doc_id for r in rows} == {0, 1, 2, 3, 4, 5, 9}
+    assert len(rows) == len({(r.doc_id, r.paragraph) for r in rows})
+    for r in rows:
+        assert len(texts[r.doc_id][r.start : r.end].split()) == r.n_words
+        if r.doc_id in (2, 3):
+            assert texts[r.doc_id][r.start : r.end].lower() in inside and r.keeper_doc_id == 2
+    assert sum(r.n_words for r in rows if r.doc_id == 9) <= 2 * 400
+
+
 def test_similar_in_blocks():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, 30)) for _ in range(80)]
