@@ -39,12 +39,13 @@ BASE = (
     Rule("hex", rb"[0-9a-f]{24,}"),
 )
 MORE = (
-    Rule("private_key", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # to the END line before another BEGIN; without one, the lines of base64 that follow
+    Rule("private_key", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*(?:\s+[A-Za-z0-9+/]+={1,2})?)"),
     Rule("code_host", rb"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_app", rb"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("cloud_api", rb"AIza[A-Za-z0-9_-]{35}"),
-    Rule("url_login", rb"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{1,64}@"),
+    Rule("url_login", rb"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]+:[^\s:/@]+@"),
 )
 RULES = BASE + MORE
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

@@ -209,6 +209,16 @@ def test_redaction(spark):
     assert out[1].n_chars == len(out[1].text)
 
 
+def test_whole_keys_and_long_logins():
+    body = "\n".join("Ab1/" * 16 for _ in range(5)) + "\nQ2+x=="
+    key = f"-----BEGIN RSA PRIVATE KEY-----\nDEK-Info: AES-128-CBC,00\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    cut, login = f"-----BEGIN PRIVATE KEY-----\n{body}", "https://" + "u" * 90 + ":" + "t" * 300 + "@"
+    texts = [f"a {key} b", f"{cut}\nplain words here", f"{cut}\nmore {key}", f"see {login}host/x"]
+    kinds = [r.kind for r in secrets.RULES]
+    found = [[t[s:e] for s, i, e in x if kinds[i] in ("private_key", "url_login")] for t, x in zip(texts, secrets.Scanner().scan([t.encode() for t in texts]), strict=True)]
+    assert found == [[key], [cut], [cut, key], [login]]
+
+
 TOKENS = ["", None, "  a  b ", "don't 'tis ,'s ''s x's'd", "İstanbul ſ ΑΣ", "emoji 😀 ok", "a<|endoftext|>b", "Qz qzjq 12 3a4 a1?!(?'re) ...  x  y", "ÀÉx", "tab\t\ttab \r\n x", "日本語 text", "zz" * 3000, "x\x1cy\x00z", "\n\n\n", "a — b’s"]
 
 
