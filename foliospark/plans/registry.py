@@ -259,6 +259,11 @@ def fact_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("score", F.col("score").cast("double"))
 
 
+@query()
+def fact_candidates_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.fact_candidates(derived(spark, sf_dir, "paragraphs")).withColumn("score", F.col("score").cast("double"))
+
+
 @query(f"""WITH c AS (SELECT *, len(w) AS n, least(70, len(w)) + confidence * 10 + CASE role WHEN 'Heading' THEN 12 WHEN 'Body' THEN 4 ELSE 0 END + CASE WHEN len(w) BETWEEN 18 AND 180 THEN 6 ELSE 0 END AS score, coalesce(section, printf('page_%03d', page)) AS sec FROM (SELECT *, {_WORDS.format('trim(text)')} AS w FROM paragraphs) WHERE len(w) >= 5 OR role = 'Heading'),
 k AS (SELECT doc_id, greatest(3, least(12, 4 // count(DISTINCT sec))) AS per FROM c GROUP BY doc_id),
 r AS (SELECT c.*, row_number() OVER (PARTITION BY c.doc_id, sec ORDER BY score DESC, page, para_id) <= per AS own FROM c JOIN k ON c.doc_id = k.doc_id),
@@ -268,6 +273,11 @@ def balanced_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.balanced_selection(derived(spark, sf_dir, "paragraphs"), most=4).withColumn("score", F.col("score").cast("double"))
 
 
+@query()
+def balanced_selection_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.balanced_selection(derived(spark, sf_dir, "paragraphs")).withColumn("score", F.col("score").cast("double"))
+
+
 @query("""WITH g AS (SELECT doc_id, category, count(*) AS n, list_slice(list(fact_id ORDER BY ord, fact_id), 1, 20) AS ids FROM facts GROUP BY ALL)
 SELECT doc_id, printf('theme_%03d', row_number() OVER (PARTITION BY doc_id ORDER BY category)) AS theme_id, category, array_to_string(ids, ',') AS fact_ids, CASE WHEN n >= 3 THEN 'moderate' ELSE 'weak' END AS strength FROM g""")
 def themes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,6 +419,11 @@ def caption_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.caption_reviews(*_bodies(spark, sf_dir), most=1)
 
 
+@query()
+def caption_reviews_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assets.caption_reviews(*_bodies(spark, sf_dir), most=2)
+
+
 @query(f"""WITH s AS (SELECT *, {_WORDS.format('trim(text)')} AS w, length(text) - length(replace(text, ',', '')) AS c FROM paragraphs)
 SELECT doc_id, para_id, trim(text) = '' OR contains(lower(text), 'check for updates') OR (contains(lower(text), 'department of') AND contains(lower(text), 'university')) OR (len(w) < 20 AND len(list_filter(w, lambda x: length(regexp_replace(x, '^[.,;:()\\[\\]]+|[.,;:()\\[\\]]+$', '', 'g')) <= 2)) > 0.55 * len(w))
 OR (page <= 2 AND len(list_filter(w, lambda x: regexp_matches(x, '[0-9]'))) >= 3 AND c >= 3 AND len(w) <= 45) OR (page <= 2 AND len(w) <= 50 AND len(list_filter(w, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) > 0.55 * len(w) AND c >= 2) OR NOT regexp_matches(text, '\\p{{L}}') AS is_noise FROM s""")

@@ -123,11 +123,21 @@ def coarse_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.coarse_seeds(derived(spark, sf_dir, "blocks"), most=2, cell=200)
 
 
+@query()
+def coarse_seeds_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.coarse_seeds(derived(spark, sf_dir, "blocks"), most=24)
+
+
 @query("SELECT doc_id, page, block_id, substring(text, 1, 40) AS text, row_number() OVER (PARTITION BY doc_id, page ORDER BY column_guess, y0, x0, ord) AS pos, count(*) OVER (PARTITION BY doc_id, page) AS total_blocks FROM blocks QUALIFY pos <= 2")
 def input_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.input_packages(derived(spark, sf_dir, "blocks"), most=2, chars=40)
 
 
+@query()
+def input_packages_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.input_packages(derived(spark, sf_dir, "blocks"))
+
+
 @query(f"""WITH b AS (SELECT *, {_PAGE_BOUNDS} FROM paragraphs WINDOW pg AS (PARTITION BY doc_id, page)), r AS (SELECT *, ((x0 + x1) / 2 - bx0) / greatest(1e-6, bx1 - bx0) AS x, ((y0 + y1) / 2 - by0) / greatest(1e-6, by1 - by0) AS y, (x1 - x0) / greatest(1e-6, bx1 - bx0) AS w FROM b),
 k AS (SELECT *, CASE WHEN page % 2 = 0 THEN 0 WHEN w >= 0.72 AND y <= 0.2 THEN 0 WHEN w >= 0.72 AND y >= 0.82 THEN 3 WHEN w >= 0.72 THEN 2 WHEN x < 0.5 THEN 1 ELSE 2 END AS bucket FROM r)
 SELECT doc_id, para_id, bucket, row_number() OVER (PARTITION BY doc_id ORDER BY page, bucket, y0, x0, ord) AS pos FROM k""")

@@ -1,9 +1,11 @@
 """Stated behaviours of roles, tables, orders and selections on literal rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import text
 from foliospark.operators import roles, sequences, tables
+from foliospark.plans import registry
 
 ROLED = "doc_id long, block_id string, ord int, page int, x0 double, y0 double, x1 double, y1 double, text string, font_size double, is_bold boolean, font string, is_heading boolean, role string"
 
@@ -124,3 +126,9 @@ def test_section_parents(spark):
     rows = [(1, "2 Results"), (1, "2.1 Force"), (1, "2.1.1 Bone"), (1, "21 Other"), (1, "Closing"), (2, "2.1. Alone"), (2, None)]
     found = sequences.parents_of_sections(spark.createDataFrame(rows, "doc_id int, section string"))
     assert sorted(r.section for r in found.collect()) == ["2 Results", "2.1 Force"]
+
+
+@pytest.mark.parametrize("name", ["fact_candidates", "balanced_selection", "caption_reviews", "input_packages", "coarse_seeds"])
+def test_full_limits_lose_no_rows(spark, name):
+    d = "/root/testdata/sf0.001"
+    assert registry.QUERIES[f"{name}_full"](spark, d).count() > registry.QUERIES[name](spark, d).count()
