@@ -1,12 +1,14 @@
 """Substring dedup by paragraph MinHash banding.
 
 Paragraphs are lines; inside a line a paragraph also ends at a sentence end (a word ending in . ! or ? before one that
-doesn't begin with a-z), so that a passage set into another text falls into the same paragraphs there. One of under
-MIN_WORDS words goes on through the short ones after it until it has enough. Words are those of the SimHash operator
-(A-Z lower-cased), shingles have five words. Paragraphs equal word for word are one class without further work. Of the
-others, those that share a band (6 bands of 2 rows: a pair of Jaccard similarity 0.8 is missed with probability
-0.36**6 = 0.0022) are joined with the other paragraphs in that bucket, the exact Jaccard similarity of their shingle
-sets is computed, and components of the links give the classes. In each class the first paragraph stays.
+doesn't begin with a-z), so that a passage set into another text falls into the same paragraphs there. Sentences of
+under MIN_WORDS words are joined to the short ones after them in their line until they have enough; what is left over
+before a longer one or at the line's end is a paragraph too: every word lies in exactly one. Words are those of the
+SimHash operator (A-Z lower-cased), shingles have five words (fewer words: the whole). Paragraphs equal word for word
+are one class without further work. Of the different ones, those that share a band (6 bands of 2 rows: a pair of
+Jaccard similarity 0.8 is missed with probability 0.36**6 = 0.0022) are joined with the other paragraphs in that
+bucket, the exact Jaccard similarity of their shingle sets is computed, and components of the links give the classes.
+In each class the first paragraph stays.
 
 Passages without a whole paragraph are found by chunks: CHUNK words, at the least hash of every WINDOW neighbouring
 starts (winnowing). Two texts that share CHUNK + WINDOW - 1 = 51 words in a row choose an equal chunk there, wherever
@@ -24,20 +26,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import map_batches, texts
-from .common import components, cut, table
+from .common import components, cut, drop_cut, table
 from .rolling import Prefix, labels, mix, point_offsets, signed, sliding
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 6, 2
-#: Paragraphs with fewer words are joined to the short ones that follow.
+#: Sentences with fewer words are joined to the short ones that follow in their line.
 MIN_WORDS = 10
 #: Words of a chunk, and neighbouring starts of which one is chosen.
 CHUNK, WINDOW = 31, 21
-#: Runs of neighbouring repeated paragraphs with fewer words in all aren't reported: common short lines stay. Chunks have no such least.
+#: What counts as a repeated passage: neighbouring repeated paragraphs with so many words in all. A shorter one is a
+#: common line; min_run_words=0 reports these too. Chunks have no such least.
 MIN_RUN_WORDS = 20
 #: Members of a bucket that one task compares; larger buckets are dealt to blocks and every pair of blocks is compared.
 BLOCK = 2048
+#: Buckets of up to so many members are compared many at a time.
+SMALL = 16
 STEP = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -49,9 +54,25 @@ _XOR = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
+def _joined(sizes: list[int], line_ends: list[bool], least: int) -> list[int]:
+    """The last sentence of each paragraph: sentences are taken together in order until they have `least` words, never
+    across a line's end nor into a sentence that has enough by itself."""
+    out, words = [], 0
+    for k, (n, ends) in enumerate(zip(sizes, line_ends, strict=True)):
+        if words and n >= least:
+            out.append(k - 1)
+            words = 0
+        words += n
+        if ends or words >= least:
+            out.append(k)
+            words = 0
+    return out
+
+
 class Paragraphs:
-    """Of a block of texts: doc (text number), number (among its text's paragraphs of enough words), start, end (code points), words, fp (of the word
-    sequence), word (place in its text), and the shingles of paragraph i in shingles[first[i] : first[i] + count[i]]."""
+    """Of a block of texts: doc (text number), number (among its text's paragraphs), start, end (code points), words,
+    fp (of the word sequence), word (place in its text), and the shingles of paragraph i in
+    shingles[first[i] : first[i] + count[i]]."""
 
     def __init__(self, values: list[bytes], least: int = MIN_WORDS):
         raw = np.frombuffer(b"\n".join(values) + b"\n", np.uint8)
@@ -61,60 +82,37 @@ class Paragraphs:
         edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
         ws, we = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         word = Prefix(flat).hash(ws, we)
-        lines = np.concatenate([[0], np.cumsum(flat == 10)])
-        gap = np.concatenate([lines[ws[1:]] > lines[we[:-1]], [True]]) if len(ws) else np.zeros(0, bool)
+        lines = np.cumsum(flat == 10)
+        gap = np.concatenate([lines[ws[1:]] > lines[we[:-1] - 1], [True]]) if len(ws) else np.zeros(0, bool)
         last = flat[we - 1]
         small = np.concatenate([(raw[ws[1:]] >= 97) & (raw[ws[1:]] <= 122), [False]]) if len(ws) else gap
-        ends = gap | (((last == 46) | (last == 33) | (last == 63)) & ~small)
-        close = np.flatnonzero(ends)
+        close = np.flatnonzero(gap | (((last == 46) | (last == 33) | (last == 63)) & ~small))
+        ends = np.array(_joined(np.diff(close, prepend=-1).tolist(), gap[close].tolist(), least), np.int64)
+        close = close[ends]
         first = np.concatenate([[0], close[:-1] + 1]).astype(np.int64) if len(close) else np.zeros(0, np.int64)
-        least = max(least, SHINGLE)
-        bounds = np.searchsorted(ws, np.append(begins, len(flat)))
-        of = np.repeat(np.arange(len(values)), np.diff(bounds))
-        close = self._joined(of, first, close, least)
-        words = close - first + 1
-        keep = words >= least
-        words, first, close = words[keep], first[keep], close[keep]
-        doc = of[first]
-        head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else doc
-        number = np.arange(len(doc)) - np.repeat(head, np.diff(np.concatenate([head, [len(doc)]])))
-        self.doc, self.number, self.words = doc, number, words
+        self.bounds = np.searchsorted(ws, np.append(begins, len(flat)))
+        self.of = np.repeat(np.arange(len(values)), np.diff(self.bounds))
+        self.doc, self.words = self.of[first], close - first + 1
+        self.number = np.arange(len(first)) - np.searchsorted(self.doc, self.doc)
         points = point_offsets(flat)
-        place = lambda doc, a, b: (points[ws[a]] - points[begins[doc]], points[we[b]] - points[begins[doc]])
-        self.word = first - bounds[doc]
-        self.start, self.end = place(doc, first, close)
-        self._words = (of, word, bounds, place)
-        n = len(first)
-        self.first = self.count = self.fp = np.zeros(0, np.int64)
-        self.shingles = np.zeros(0, np.uint64)
-        if n:
-            at = np.arange(self.words.sum()) - np.repeat(np.cumsum(self.words) - self.words, self.words)
-            own = word[np.repeat(first, self.words) + at]
-            self.fp = signed(np.add.reduceat(mix(own + at.astype(np.uint64) * _K[0]), np.cumsum(self.words) - self.words))
-            five = sum((word[k : len(word) - SHINGLE + 1 + k] * _K[k] for k in range(1, SHINGLE)), word[: len(word) - SHINGLE + 1] * _K[0])
-            self.count = self.words - SHINGLE + 1
-            self.first = np.cumsum(self.count) - self.count
-            self.shingles = mix(five[np.repeat(first - self.first, self.count) + np.arange(self.count.sum())])
-
-    @staticmethod
-    def _joined(of: np.ndarray, first: np.ndarray, close: np.ndarray, least: int) -> np.ndarray:
-        """close, moved on for paragraphs of under `least` words through the short ones after them in the same text."""
-        small, last = close - first + 1 < least, np.arange(len(close))
-        for _ in range(least - 1):
-            to = np.minimum(last + 1, len(close) - 1)
-            grow = small & small[to] & (to > last) & (close[last] - first + 1 < least) & (of[first[to]] == of[first])
-            if not grow.any():
-                break
-            last = np.where(grow, to, last)
-        return close[last]
+        self.place = lambda doc, a, b: (points[ws[a]] - points[begins[doc]], points[we[b]] - points[begins[doc]])
+        self.word = first - self.bounds[self.doc]
+        self.start, self.end = self.place(self.doc, first, close)
+        self.prefix = Prefix(np.arange(len(word)), word)
+        own = self.prefix.hash(first, close + 1) ^ _K[0]
+        self.fp = signed(mix(own))
+        self.count = np.maximum(self.words - SHINGLE + 1, 1)
+        self.first = np.cumsum(self.count) - self.count
+        five = self.prefix.fixed(SHINGLE) if len(word) >= SHINGLE else np.zeros(0, np.uint64)
+        at = np.repeat(first - self.first, self.count) + np.arange(self.count.sum())
+        short = np.repeat(self.words < SHINGLE, self.count)
+        self.shingles = np.where(short, np.repeat(own, self.count), five[np.minimum(at, len(five) - 1)] if len(five) else np.uint64(0))
 
     def chunks(self) -> tuple[np.ndarray, ...]:
         """doc, number (after those of the text's paragraphs), start, end, words, fp, word (place in its text)."""
-        of, word, bounds, place = self._words
-        sizes, span = np.diff(bounds), CHUNK + WINDOW - 1
-        prefix = Prefix(np.arange(len(word)), word)
+        sizes, span, of, prefix = np.diff(self.bounds), CHUNK + WINDOW - 1, self.of, self.prefix
         doc = np.flatnonzero((sizes > 0) & (sizes < span))
-        first, words = bounds[doc], sizes[doc]
+        first, words = self.bounds[doc], sizes[doc]
         fp = prefix.hash(first, first + words)
         if sizes.max(initial=0) >= span:
             h = np.maximum(prefix.fixed(CHUNK), np.uint64(1))
@@ -132,9 +130,11 @@ class Paragraphs:
             doc = of[first]
         before = np.bincount(self.doc, minlength=len(sizes))
         number = before[doc] + np.arange(len(doc)) - np.searchsorted(doc, doc)
-        return doc, number, *place(doc, first, first + words - 1), words, signed(fp), first - bounds[doc]
+        return doc, number, *self.place(doc, first, first + words - 1), words, signed(fp), first - self.bounds[doc]
 
     def bands(self) -> np.ndarray:
+        if not len(self.first):
+            return np.zeros((0, BANDS), np.uint64)
         least = [np.minimum.reduceat((self.shingles ^ x) * a, self.first) for a, x in zip(_ODD, _XOR, strict=True)]
         return np.stack([mix(sum((least[b * ROWS + r] * _K[r] for r in range(ROWS)), np.uint64(b * int(_K[4]) % (1 << 64)))) for b in range(BANDS)], 1)
 
@@ -143,45 +143,53 @@ def _longs(*names: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.LongType()) for c in names])
 
 
-def _buckets(own: DataFrame) -> DataFrame:
-    """band, fp: the different paragraphs in every bucket that has at least two."""
+def _units(own: DataFrame) -> DataFrame:
+    """Paragraphs and chunks: doc_id, paragraph, start, end, n_words, fp, word, chunk, again (not the first of equal
+    ones in its text), and for paragraphs of SHINGLE words or more their bands b0, b1, ..."""
+    names = [f"b{i}" for i in range(BANDS)]
+    schema = _longs("doc_id", "paragraph", "start", "end", "n_words", "fp", "word").add("chunk", T.BooleanType()).add("again", T.BooleanType())
+    for c in names:
+        schema = schema.add(c, T.LongType())
 
     def make():
         def step(batch):
             p = Paragraphs(batch.column(1).to_pylist())
-            if not len(p.doc):
-                return None
-            return [pa.array(signed(p.bands().ravel())), pa.array(np.repeat(p.fp, BANDS))]
+            doc, *columns = (np.concatenate(x).astype(np.int64) for x in zip((p.doc, p.number, p.start, p.end, p.words, p.fp, p.word), p.chunks(), strict=True))
+            order = np.lexsort((columns[0], columns[4], doc))
+            again = np.zeros(len(doc), bool)
+            again[order[1:]] = (doc[order[1:]] == doc[order[:-1]]) & (columns[4][order[1:]] == columns[4][order[:-1]])
+            more = len(doc) - len(p.doc)
+            none = np.concatenate([p.words < SHINGLE, np.ones(more, bool)])
+            bands = [pa.array(np.concatenate([signed(b), np.zeros(more, np.int64)]), mask=none) for b in np.ascontiguousarray(p.bands().T)]
+            return [*(pa.array(x) for x in (batch.column(0).to_numpy()[doc].astype(np.int64), *columns, np.arange(len(doc)) >= len(p.doc), again)), *bands]
 
         return step
 
-    rows = map_batches(own, make, _longs("band", "fp"), limit=STEP).repartition("band").sortWithinPartitions("band", "fp")
+    return map_batches(own, make, schema, limit=STEP)
+
+
+def _buckets(different: DataFrame) -> DataFrame:
+    """band, fp: the members of every bucket that has at least two. `different`: fp and its bands, a row for each fp."""
+    rows = different.where("b0 is not null").select(F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("band"), "fp")
 
     def shared(batches):
-        last, waiting = None, None
+        last = waiting = None  # the last row's bucket, and its member if that hasn't gone out
         for batch in batches:
             if not batch.num_rows:
                 continue
             band, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            pb, pf = last if last else (~band[0], 0)
-            new_band = band != np.concatenate([[pb], band[:-1]])
-            new = new_band | (fp != np.concatenate([[pf], fp[:-1]]))
-            group = np.cumsum(new_band)
-            count = np.bincount(group[new], minlength=group[-1] + 1)
-            out = np.array([waiting] if waiting and count[0] else [], np.int64).reshape(-1, 2)
-            if group[0] == 0:
-                count[0] += 1 if waiting else 2 * (last is not None)
-            if waiting and (len(out) or group[-1] > 0):
-                waiting = None
-            use = new & (count[group] > 1)
-            alone = np.flatnonzero(new & ~use & (group == group[-1]))
-            if len(alone):
-                waiting = (band[alone[-1]], fp[alone[-1]])
-            last = (band[-1], fp[-1])
-            if len(out) or use.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([out[:, i], x[use]])) for i, x in enumerate((band, fp))], ["band", "fp"])
-
-    return rows.mapInArrow(shared, _longs("band", "fp"))
+            same = band[1:] == band[:-1]
+            before = last is not None and band[0] == last
+            use = np.concatenate([[before], same]) | np.concatenate([same, [False]])
+            out = [np.zeros(0, np.int64)] * 2
+            if before and waiting is not None:
+                out = [np.array([last]), np.array([waiting])]
+            waiting = None if use[-1] else fp[-1]
+            last = band[-1]
+            if use.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, x[use]])) for a, x in zip(out, (band, fp), strict=True)], ["band", "fp"])
+
+    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(shared, _longs("band", "fp"))
 
 
 def similar(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -212,90 +220,137 @@ def _dense(owner, code, lo, hi, width):
     return out
 
 
+def similar_in_groups(group: np.ndarray, sizes: np.ndarray, values: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """similar() inside every group at once, for small groups: rows i, j of one group. values: the rows' sets, one
+    after another; group: a number for each row, the same for neighbours of one group."""
+    row = np.repeat(np.arange(len(group)), sizes)
+    order = np.lexsort((row, values, group[row]))
+    row, values = row[order], values[order]
+    same = (values[1:] == values[:-1]) & (group[row[1:]] == group[row[:-1]])
+    pairs, hit, lag = [], same, 1
+    while hit.any():  # hit: the element `lag` places on is the same one
+        at = np.flatnonzero(hit)
+        pairs.append(row[at] * len(group) + row[at + lag])
+        hit = hit[:-1] & same[lag:]
+        lag += 1
+    if not pairs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pair, both = np.unique(np.concatenate(pairs), return_counts=True)
+    i, j = np.divmod(pair, len(group))
+    close = both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9
+    return i[close], j[close]
+
+
 def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """u, v (fp): a spanning forest, for each bucket, of the pairs similar enough."""
     hot = members.groupBy("band").count().where(F.col("count") > BLOCK).select("band", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(hot, "band", "left").withColumn("own", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
     full = dealt.join(sets, "fp").select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "shingles")
-    spread = full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "fp")
-
-    def compare(batches):
-        key, fps, sets_ = None, [], []
-
-        def flush():
-            if len(fps) > 1:
-                i, j = similar(sets_, similarity)
-                lab = labels(len(fps), i, j)
-                own = np.flatnonzero(lab != np.arange(len(lab)))
-                if len(own):
-                    f = np.array(fps, np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(f[own]), pa.array(f[lab[own]])], ["u", "v"])
-
+    spread = full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def compare(table_):
+        """Of whole groups, one after another."""
+        key = np.stack([table_.column(c).to_numpy().astype(np.int64) for c in range(3)], 1)
+        fp, lists = table_.column(3).to_numpy(), table_.column(4).combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        offsets = lists.offsets.to_numpy()
+        values, offsets = lists.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
+        head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+        count = np.diff(np.append(head, len(fp)))
+        group = np.repeat(np.arange(len(head)), count)
+        small = (count <= SMALL)[group]
+        sizes = np.diff(offsets)
+        own = np.flatnonzero(small)
+        i, j = similar_in_groups(group[own], sizes[own], values[np.repeat(small, sizes)], similarity)
+        i, j = [own[i]], [own[j]]
+        for k in np.flatnonzero(count > SMALL):
+            a = head[k]
+            x, y = similar([values[offsets[r] : offsets[r + 1]] for r in range(a, a + count[k])], similarity)
+            i.append(x + a)
+            j.append(y + a)
+        lab = labels(len(fp), np.concatenate(i), np.concatenate(j))
+        linked = np.flatnonzero(lab != np.arange(len(lab)))
+        return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[lab[linked]])], ["u", "v"]) if len(linked) else None
+
+    def run(batches):
+        held = None
         for batch in batches:
-            for band, i, j, fp, shingles in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4), strict=True):
-                if (band, i, j) != key:
-                    yield from flush()
-                    key, fps, sets_ = (band, i, j), [], []
-                fps.append(fp)
-                sets_.append(shingles.values.to_numpy())
-        yield from flush()
+            if not batch.num_rows:
+                continue
+            held = pa.concat_tables([*([held] if held is not None else []), pa.Table.from_batches([batch])])
+            if held.num_rows < SMALL * SMALL:
+                continue
+            key = [held.column(c).to_numpy() for c in range(3)]
+            last = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in key]))
+            if len(last):
+                if (out := compare(held.slice(0, int(last[-1]) + 1))) is not None:
+                    yield out
+                held = held.slice(int(last[-1]) + 1)
+        if held is not None and held.num_rows and (out := compare(held)) is not None:
+            yield out
 
-    return spread.mapInArrow(compare, _longs("u", "v"))
+    return spread.mapInArrow(run, _longs("u", "v"))
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """One row per paragraph or chunk of a class of two or more: doc_id, paragraph (number among those of enough words in its text, then
-    its chunks), start, end (code points), n_words, keeper_doc_id, keeper_paragraph (the class's first by doc_id and number), removed
-    (not the first). Rows may overlap; a keeper that other rows cover has none of its own.
+    """One row per paragraph or chunk of a class of two or more: doc_id, paragraph (number among those of its text, then
+    its chunks), start, end (code points), n_words, keeper_doc_id, keeper_paragraph (the class's first by doc_id and
+    number), removed (not the first). Rows may overlap; a keeper that other rows cover has none of its own.
 
-    Null texts and texts without words give no rows; a text repeated under several doc_ids repeats all its paragraphs; texts
-    of any length are compared whole; columns but doc_id (an integer, identifying a text) and text aren't read.
+    Null texts and texts without words give no rows; a text repeated under several doc_ids repeats all its paragraphs;
+    texts of any length are compared whole. doc_id is an integer that identifies a text: rows repeated under one doc_id
+    count once, rows without one not at all. Columns but doc_id and text aren't read. An empty table gives no rows.
     """
     own = texts(docs).where("doc_id is not null")
-
-    def make():
-        def step(batch):
-            p = Paragraphs(batch.column(1).to_pylist())
-            whole = (p.doc, p.number, p.start, p.end, p.words, p.fp, p.word)
-            chunks = p.chunks()
-            doc, *columns = (np.concatenate(x).astype(np.int64) for x in zip(whole, chunks, strict=True))
-            return [pa.array(x) for x in (batch.column(0).to_numpy()[doc].astype(np.int64), *columns, np.arange(len(doc)) >= len(p.doc))]
-
-        return step
-
-    units = cut(map_batches(own, make, _longs("doc_id", "paragraph", "start", "end", "n_words", "fp", "word").add("chunk", T.BooleanType()), limit=STEP))
-    exact = cut(units.groupBy("fp").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("copies"), F.max("chunk").alias("chunk")).where("copies > 1 or not chunk").drop("chunk"))
-    members = cut(_buckets(own))
-    near = members.select("fp").distinct().join(exact, "fp").groupBy("first.doc_id").agg(F.collect_list("first.paragraph").alias("numbers"))
+    units = cut(_units(own))
+    bands = [f"b{i}" for i in range(BANDS)]
+    # `again` leaves one row for each fp and text, so that the first text has one paragraph to name; a row repeated
+    # under its doc_id is counted once
+    exact = units.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min_by("paragraph", F.when(~F.col("again"), F.col("doc_id"))).alias("paragraph"), F.max("doc_id").alias("to"), F.max("paragraph").alias("most"), F.min("paragraph").alias("least"), *[F.first(b).alias(b) for b in bands])
+    several = (F.col("doc_id") < F.col("to")) | (F.col("least") < F.col("most"))
+    exact = cut(exact.select("fp", "doc_id", "paragraph", several.alias("several"), *bands).where("several or b0 is not null"))
+    members = cut(_buckets(exact))
+    near = members.select("fp").distinct().join(exact.select("fp", "doc_id", "paragraph"), "fp").groupBy("doc_id").agg(F.collect_list("paragraph").alias("numbers"))
 
     def shingled():
         def step(batch):
             p = Paragraphs(batch.column(1).to_pylist())
-            wanted = batch.column(2).to_pylist()
-            chosen = [k for k, (d, n) in enumerate(zip(p.doc.tolist(), p.number.tolist(), strict=True)) if n in wanted[d]]
-            sets = [np.unique(signed(p.shingles[p.first[k] : p.first[k] + p.count[k]])) for k in chosen]
-            return [pa.array(p.fp[chosen]), pa.array(sets, pa.list_(pa.int64()))]
+            wanted = batch.column(2)
+            text = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
+            key = lambda d, n: (d << 40) + n
+            chosen = np.flatnonzero(np.isin(key(p.doc, p.number), key(text, wanted.flatten().to_numpy())))
+            count = p.count[chosen]
+            row = np.repeat(np.arange(len(chosen)), count)
+            value = signed(p.shingles)[np.repeat(p.first[chosen] - (np.cumsum(count) - count), count) + np.arange(len(row))]
+            order = np.lexsort((value, row))
+            row, value = row[order], value[order]
+            new = np.concatenate([[True], (row[1:] != row[:-1]) | (value[1:] != value[:-1])]) if len(row) else np.zeros(0, bool)
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(chosen)))]).astype(np.int32)
+            return [pa.array(p.fp[chosen]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(value[new]))]
 
         return step
 
     schema = T.StructType([T.StructField("fp", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
     sets = cut(map_batches(own.join(near, "doc_id").select("doc_id", "text", "numbers"), shingled, schema, limit=STEP).dropDuplicates(["fp"]))
-    found = components(_links(members, sets, similarity))
-    named = exact.join(found, F.col("fp") == F.col("node"), "left").where("copies > 1 or component is not null")
-    named = named.select("fp", "first", "copies", F.coalesce("component", "fp").alias("class"))
-    heads = named.groupBy("class").agg(F.min("first").alias("keeper"), F.sum("copies").alias("size")).where("size > 1")
-    of = cut(named.join(heads, "class").select("fp", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.paragraph").alias("keeper_paragraph")))
-    rows = units.join(of, "fp")
-    order = W.partitionBy("doc_id").orderBy("paragraph")
-    end = F.col("word") + F.col("n_words")
-    run = rows.where("not chunk").withColumn("_run", F.col("paragraph") - F.dense_rank().over(order))
-    all_ = W.partitionBy("doc_id", "_run")
-    run = run.withColumn("_all", F.least(F.sum("n_words").over(all_), F.max(end).over(all_) - F.min("word").over(all_))).where(F.col("_all") >= min_run_words).drop("_run", "_all")
+    edges = cut(_links(members, sets, similarity))
+    for done in (members, sets):
+        drop_cut(done)
+    found = components(edges)
+    named = exact.select("fp", "doc_id", "paragraph", "several").join(found, F.col("fp") == F.col("node"), "left").where("several or component is not null")
+    named = named.select("fp", "doc_id", "paragraph", F.coalesce("component", "fp").alias("class"))
+    heads = named.groupBy("class").agg(F.min(F.struct("doc_id", "paragraph")).alias("keeper"))
+    of = named.join(heads, "class").select("fp", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.paragraph").alias("keeper_paragraph"))
+    rows = units.drop("again", *bands).join(of, "fp")
+    order = W.partitionBy("doc_id").orderBy("chunk", "paragraph")
+    repeat = F.lag(F.struct("chunk", "paragraph")).over(order).eqNullSafe(F.struct("chunk", "paragraph"))
+    rows = rows.withColumn("_run", F.when(~F.col("chunk"), F.col("paragraph") - F.dense_rank().over(order))).withColumn("_repeat", repeat).where(~F.col("_repeat"))
+    run = rows.withColumn("_all", F.sum("n_words").over(W.partitionBy("doc_id", "_run"))).where(F.col("chunk") | (F.col("_all") >= min_run_words))
     # stretches that the paragraphs left cover without a gap; a chunk inside one says nothing new
+    end = F.col("word") + F.col("n_words")
     order = W.partitionBy("doc_id").orderBy("word", "chunk")
     reach = F.max(F.when(~F.col("chunk"), end))
-    both = run.union(rows.where("chunk")).withColumn("_reach", reach.over(order.rowsBetween(W.unboundedPreceding, -1)))
+    both = run.withColumn("_reach", reach.over(order.rowsBetween(W.unboundedPreceding, -1)))
     both = both.withColumn("_stretch", F.sum(F.when(~F.col("chunk") & (F.col("_reach").isNull() | (F.col("word") > F.col("_reach"))), 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, 0)))
     both = both.withColumn("_reach", reach.over(W.partitionBy("doc_id", "_stretch")))
     removed = (F.col("doc_id") != F.col("keeper_doc_id")) | (F.col("paragraph") != F.col("keeper_paragraph"))

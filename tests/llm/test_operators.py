@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -128,28 +128,98 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def test_paragraphs_match_brute_force(spark):
+def brute_paragraphs(text, least=10):
+    """(start, end, words) of each paragraph: sentences of a line, short ones joined to the short ones after them."""
+    out = []
+    for line in re.finditer(r"[^\n]+", text or ""):
+        w = [(m[0], line.start() + m.start(), line.start() + m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", line[0])]
+        sentences, now = [], []
+        for k, x in enumerate(w):
+            now.append(x)
+            if k + 1 == len(w) or (x[0][-1] in ".!?" and not re.match("[a-z]", w[k + 1][0])):
+                sentences.append(now)
+                now = []
+        held = []
+        for s in sentences:
+            if held and len(s) >= least:
+                out.append(held)
+                held = []
+            held = held + s
+            if len(held) >= least:
+                out.append(held)
+                held = []
+        out += [held] if held else []
+    return [(x[0][1], x[-1][2], ["".join(c.lower() if c.isascii() else c for c in t) for t, _, _ in x]) for x in out]
+
+
+def brute_repeated(texts, min_run):
+    units = {(d, n): x for d, t in enumerate(texts) for n, x in enumerate(brute_paragraphs(t))}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, (_, _, w) in units.items()}
+    keys = list(units)
+    links = [(a, b) for i, a in enumerate(keys) for b in keys[i + 1 :] if units[a][2] == units[b][2] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    comp = components(keys, links)
+    size = Counter(comp.values())
+    out, run = {}, []
+    for k in [*sorted(keys), (-1, -1)]:
+        if run and (k != (run[-1][0], run[-1][1] + 1) or size[comp[k]] < 2):
+            if sum(len(units[x][2]) for x in run) >= min_run:
+                out |= {x: (*units[x][:2], len(units[x][2]), *comp[x], x != comp[x]) for x in run}
+            run = []
+        if k in comp and size[comp[k]] > 1:
+            run.append(k)
+    return out
+
+
+@pytest.mark.parametrize("settings", [{}, {"min_run_words": 0}])
+def test_paragraphs_match_brute_force(spark, settings):
     rng = random.Random(11)
-    base = [words(rng, rng.randrange(12, 60), 5000) for _ in range(40)]
+    say = lambda n: words(rng, n, 5000)
+    base = [". ".join(say(rng.randrange(2, 40)).capitalize() for _ in range(rng.randrange(1, 5))) + "." for _ in range(40)]
     texts = ["\n".join(rng.sample(base, 5)) for _ in range(30)]
-    for i in range(20):  # one word of a paragraph changed
-        w = base[i].split()
-        w[len(w) // 2] = "other"
-        texts.append(" ".join(w) + "\n" + words(rng, 40, 5000))
-    texts += [None, "", "short", base[0] + "\n" + base[0]]
-    rows = minhash.repeated(make(spark, texts), min_run_words=0).collect()
-    got = {(r.doc_id, r.paragraph): (r.keeper_doc_id, r.keeper_paragraph, r.removed) for r in rows}
-    units = [((d, n), line.split()) for d, t in enumerate(texts) for n, line in enumerate(x for x in (t or "").split("\n") if len(x.split()) >= minhash.MIN_WORDS)]
-    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in units}
-    at = {k: tuple(w) for k, w in units}
-    links = [(a, b) for a in sets for b in sets if a < b and (at[a] == at[b] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]))]
-    comp = components(sets, links)
-    size = defaultdict(int)
-    for c in comp.values():
-        size[c] += 1
-    assert got == {k: (*c, k != c) for k, c in comp.items() if size[c] > 1}
-    spans = {(r.doc_id, r.paragraph): texts[r.doc_id][r.start : r.end].split() for r in rows}
-    assert all(tuple(spans[k]) == at[k] for k in spans)
+    long = [say(60) for _ in range(20)]
+    texts += [x + "\n" + say(40) for x in long]
+    for x in long:  # one word of a paragraph changed
+        w = x.split()
+        w[rng.randrange(len(w))] = "other"
+        texts.append(" ".join(w).upper() + "\n" + say(40))
+    texts += [None, "", " \n\t", "short", "é à", base[0] + "\n" + base[0], "a b.\n" * 12]
+    assert max(len(w) for t in texts for _, _, w in brute_paragraphs(t)) < minhash.CHUNK * 2
+    got = {(r.doc_id, r.paragraph): tuple(r)[2:] for r in minhash.repeated(make(spark, texts), **settings).collect() if r.paragraph < len(brute_paragraphs(texts[r.doc_id]))}
+    assert got == brute_repeated(texts, settings.get("min_run_words", minhash.MIN_RUN_WORDS))
+    assert any(not r[-1] for r in got.values()) and any(r[0] in {t + 50 for t in range(20)} for r in got)
+
+
+def test_paragraphs_of_repeated_rows_and_long_texts(spark):
+    rng = random.Random(12)
+    once, twice, long = words(rng, 60, 9000), words(rng, 60, 9000), words(rng, 300_000, 10**6)
+    docs = make(spark, [once, twice, "x " + twice, long, long[1_200_000:1_201_000], None])
+    wide = docs.union(docs).withColumn("fp", docs.lang).withColumn("word", docs.lang).withColumn("paragraph", docs.lang)
+    rows = minhash.repeated(wide.union(wide.where("false"))).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3, 4} and len(rows) == len({(r.doc_id, r.paragraph) for r in rows})
+    assert len(long) > 2 * minhash.STEP
+
+
+def test_small_groups_are_compared_like_large_ones():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 40, 30)) for _ in range(400)]
+    group = np.sort(rng.integers(0, 90, 400))
+    i, j = minhash.similar_in_groups(group, np.array([len(s) for s in sets]), np.concatenate(sets), 0.5)
+    s = [set(x.tolist()) for x in sets]
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(a, b) for a in range(400) for b in range(a + 1, 400) if group[a] == group[b] and len(s[a] & s[b]) >= 0.5 * len(s[a] | s[b])]
+
+
+def test_hot_buckets_in_blocks_and_batches(spark, monkeypatch):
+    """More near copies than one block or one Arrow batch holds."""
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    rng = random.Random(13)
+    w = words(rng, 80, 9000).split()
+    texts = [" ".join([*w[:i], "odd", *w[i:]][:80]) + f"\n{words(rng, 30, 10**6)}" for i in range(1, 60) for _ in range(5)] + [words(rng, 80, 9000) for _ in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {(r.doc_id, r.paragraph): tuple(r)[2:] for r in minhash.repeated(make(spark, texts)).collect() if r.paragraph < len(brute_paragraphs(texts[r.doc_id]))}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_repeated(texts, minhash.MIN_RUN_WORDS) and len(got) >= 295
 
 
 def test_passages_without_whole_paragraphs(spark):
