@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,31 +15,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. A temporary one is made only where the session names none (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset a temporary one is made in local mode
+    (tests), where there are no other machines; elsewhere that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="foliospark-")
         shared_dir.own = root
     return root.rstrip("/")
 
 
+#: Spark deletes an execution's shuffle files when it ends, not when the driver happens to collect garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again: lineage ends there, lost executors cost nothing."""
+    """Writes df as Parquet to the shared folder and reads it again: lineage ends there, lost executors cost nothing.
+    The plan isn't run again, so its shuffle files go once the table is whole. The files stay as long as a later plan
+    may read them: drop_cut() deletes one table, drop_cuts() all of this application's when its job is done."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    path = f"{shared_dir(spark)}/cut-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before) if before else spark.conf.unset(_TIDY)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
 
 
+def _delete(spark: SparkSession, pattern: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(p) or []:
+        files.delete(found.getPath(), True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Deletes the files of a cut that no later plan reads."""
-    path = getattr(df, "_cut_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    if path := getattr(df, "_cut_path", None):
+        _delete(df.sparkSession, path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Deletes what this application's cuts have left; for the end of a job, when its results are written."""
+    _delete(spark, f"{shared_dir(spark)}/cut-{spark.sparkContext.applicationId}-*")
 
 
 def let(value: Column, body) -> Column:

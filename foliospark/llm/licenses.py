@@ -1,8 +1,22 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest
-ancestor directory by path joins."""
+ancestor directory by path joins.
+
+A notice may stand anywhere in a file, so its lines, its sentences and its blocks of lines without a blank one
+between (wrapped notices) are each held against the short notices; a licence file is also held as a whole against
+full licence texts. The best cosine counts.
+
+Most lines can't reach the threshold, and those go before their terms are counted, without loss: by Cauchy-Schwarz a
+unit's cosine to a template is at most the length of the part of the (normed) template whose terms the unit has. So
+every template has key terms, the heaviest ones, without which the rest is too short; a unit with none of any
+template's key terms is out.
+"""
 
 from __future__ import annotations
 
+import functools
+import math
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,44 +40,95 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
-#: A line belongs to a file's licence header if it holds one of these.
-CUE = "licen[cs]e|copyright|permission|redistribution|public domain|cc by"
 LEAST_COSINE = 0.6
 LICENSE_NAMES = r"^(?i)(licen[cs]e|copying|notice)"
+TERM = "[a-z0-9]+"
+SENTENCE_END = r"[.!?]+[\x20\t\r\n]+"
+BLANK = r"\n[\x20\t\r\n]*\n"
 
 
-def _header(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: F.lower(x).rlike(CUE))
-    return F.array_join(lines, " ")
+@functools.cache
+def licence_texts() -> tuple[tuple[str, str], ...]:
+    """(license, full text) of the files beside this module, as their authors publish them."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_texts")
+    return tuple((n.removesuffix(".txt"), open(os.path.join(folder, n), encoding="utf-8").read()) for n in sorted(os.listdir(folder)) if n.endswith(".txt"))
+
+
+def templates() -> list[tuple[int, str, bool, str]]:
+    """template, license, full (a whole text, for whole files), text."""
+    both = [(a, False, b) for a, b in TEMPLATES] + [(a, True, b) for a, b in licence_texts()]
+    return [(i, *x) for i, x in enumerate(both)]
 
 
 def _terms(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+
+
+def _words(text: str) -> list[str]:
+    import re
+
+    return re.findall(TERM, text.lower())
+
+
+def _named_license(path: Column) -> Column:
+    return F.regexp_extract(path, "[^/]*$", 0).rlike(LICENSE_NAMES)
+
+
+def _idf(files: DataFrame) -> tuple[dict[str, float], float]:
+    """idf of every term of the templates, over all files: ln((1 + N) / (1 + df)) + 1; and that of a term in no file,
+    which a term outside the templates, which only makes a unit longer, is taken for. The templates' terms are a
+    constant list, so what comes to the driver is bounded by it."""
+    own = sorted({w for *_, t in templates() for w in _words(t)})
+    has = F.array_intersect(F.array_distinct(_terms(F.col("text"))), F.array(*map(F.lit, own)))
+    n = files.count()
+    df = {r.term: r.n for r in files.select(F.explode(has).alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
+    return {w: math.log((1.0 + n) / (1.0 + df.get(w, 0))) + 1.0 for w in own}, math.log(1.0 + n) + 1.0
+
+
+def _weighted(text: str, idf: dict[str, float]) -> dict[str, float]:
+    """Unit vector of (1 + ln tf) * idf."""
+    words = _words(text)
+    w = {t: (1.0 + math.log(words.count(t))) * idf[t] for t in set(words)}
+    size = math.sqrt(sum(x * x for x in w.values()))
+    return {t: x / size for t, x in w.items()}
 
 
-def _weights(rows: DataFrame, idf: DataFrame, *keys: str) -> DataFrame:
-    """keys, term, w: term frequency times idf."""
-    return rows.groupBy(*keys, "term").agg(F.count("*").alias("tf")).join(idf, "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
+def key_terms(weights: dict[str, float], least: float) -> set[str]:
+    """The heaviest terms of a template, without which what is left is shorter than `least`."""
+    rest, light = 0.0, set()
+    for t, w in sorted(weights.items(), key=lambda x: (x[1], x[0])):
+        rest += w * w
+        if rest >= (least - 1e-6) ** 2:
+            break
+        light.add(t)
+    return set(weights) - light
 
 
 def own_licenses(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """path, license, score of files (path, text) whose header comes close enough to a template; the best one, ties by
-    name. The header is every line with a cue, wherever it stands; idf counts all headers and templates:
-    ln((1 + N) / (1 + df)) + 1. Files without such lines, null texts among them, are absent."""
+    """path, license, score of files (path, text) of which a unit comes close enough to a template; the best one, ties
+    by license. Rows of one path count together. Units of a file: lines, sentences of a line, blocks of lines; these
+    are held against the notices. A file named like a licence file is also held as a whole against the full texts.
+    Weights: (1 + ln tf) * idf. Files without a close unit, null and empty texts among them, are absent."""
     spark = files.sparkSession
-    heads = cut(files.where(F.lower("text").rlike(CUE)).select("path", _header(F.col("text")).alias("header")).where("header <> ''").dropDuplicates(["path"]))
-    templates = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(TEMPLATES)], "template int, license string, header string")
-    head_terms = heads.select("path", F.explode(_terms(F.col("header"))).alias("term"))
-    template_terms = templates.select("template", F.explode(_terms(F.col("header"))).alias("term"))
-    n = heads.count() + len(TEMPLATES)
-    seen = head_terms.distinct().select("term").union(template_terms.distinct().select("term"))
-    idf = cut(seen.groupBy("term").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf")))
-    w, t = cut(_weights(head_terms, idf, "path")), _weights(template_terms, idf, "template")
-    length = lambda rows, key, name: rows.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-    t = t.join(length(t, "template", "tn"), "template").join(templates.select("template", "license"), "template").select("template", "license", "term", (F.col("w") / F.col("tn")).alias("tw"))
-    # the templates' terms are a constant few hundred rows
-    dot = w.join(F.broadcast(t), "term").groupBy("path", "license", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = dot.join(length(w, "path", "n"), "path").select("path", "license", F.round(F.col("dot") / F.col("n"), 6).alias("score")).where(F.col("score") >= least)
+    idf, unseen = _idf(files)
+    vectors = [(i, name, full, _weighted(t, idf)) for i, name, full, t in templates()]
+    keys = sorted(set().union(*(key_terms(v, least) for _, _, full, v in vectors if not full)))
+    possible = rf"(?<![a-z0-9])(?:{'|'.join(keys)})(?![a-z0-9])"
+    near = files.where(F.lower("text").rlike(possible))
+    text = F.col("text")
+    pieces = F.flatten(F.array(F.split(text, "\n"), F.split(text, SENTENCE_END), F.split(text, BLANK)))
+    parts = near.select("path", F.explode(F.array_distinct(pieces)).alias("unit")).where(F.lower("unit").rlike(possible)).withColumn("full", F.lit(False))
+    whole = files.where(_named_license(F.col("path")) & text.isNotNull()).select("path", text.alias("unit"), F.lit(True).alias("full"))
+    # an id is needed for each unit: the cut fixes it
+    units = cut(parts.union(whole).withColumn("unit_id", F.monotonically_increasing_id()))
+    counted = units.select("unit_id", "path", "full", F.explode(_terms(F.col("unit"))).alias("term")).groupBy("unit_id", "path", "full", "term").agg(F.count("*").alias("tf"))
+    # constant tables: the templates' terms
+    weights = spark.createDataFrame(list(idf.items()), "term string, idf double")
+    wide = spark.createDataFrame([(i, name, full, t, w) for i, name, full, v in vectors for t, w in v.items()], "template int, license string, full boolean, term string, tw double")
+    w = cut(counted.join(F.broadcast(weights), "term", "left").select("unit_id", "path", "full", "term", ((1.0 + F.log("tf")) * F.coalesce("idf", F.lit(unseen))).alias("w")))
+    size = w.groupBy("unit_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
+    dot = w.join(F.broadcast(wide), ["term", "full"]).groupBy("unit_id", "path", "license", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = dot.join(size, "unit_id").select("path", "license", F.round(F.col("dot") / F.col("size"), 6).alias("score")).where(F.col("score") >= least)
     best = scored.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("path", "b.license", (-F.col("b.minus")).alias("score"))
 
@@ -73,23 +138,26 @@ def _dir(path: Column) -> Column:
 
 
 def scan(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """path, license, score, origin for every row of files (path, text): the file's own licence (origin: its path), or
-    that of the licence file in the nearest directory above it (origin: that file), or nulls.
+    """The columns of files (path, text and any others) but text, with license, score, origin, for every row: the file's
+    own licence (origin: its path), or that of the licence file in the nearest directory above it (origin: that file),
+    or nulls. Columns of files named license, score or origin give way to these; other names never clash.
 
     Licence files are those named LICENSE, COPYING or NOTICE; of several in a directory the best score counts, ties by
-    licence and path. Ancestors are listed once for each different directory, never for each file. Null paths get nulls.
+    licence and path. Ancestors are listed once for each different directory, never for each file. Null paths get
+    nulls; rows that share a path share its licence; an empty table gives no rows.
     """
-    own = cut(own_licenses(files.where("path is not null"), least))
-    name = F.regexp_extract("path", "[^/]*$", 0)
-    marked = own.where(name.rlike(LICENSE_NAMES)).groupBy(_dir(F.col("path")).alias("above")).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license", "path")).alias("m"))
-    dirs = files.where("path is not null").select(_dir(F.col("path")).alias("dir")).distinct()
+    known = files.where("path is not null").select("path", "text")
+    own = cut(own_licenses(known, least))
+    marked = own.where(_named_license(F.col("path"))).groupBy(_dir(F.col("path")).alias("above")).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license", "path")).alias("m"))
+    dirs = known.select(_dir(F.col("path")).alias("dir")).distinct()
     parts = F.split("dir", "/")
     above = dirs.select("dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))).alias("above")).distinct()
     nearest = above.join(marked, "above").groupBy("dir").agg(F.max(F.struct(F.length("above").alias("depth"), "m")).alias("x")).select("dir", "x.m")
-    named = files.withColumn("_dir", _dir(F.col("path"))).select("path", "_dir", *[c for c in files.columns if c not in ("path", "text")])
-    mine = own.select(F.col("path").alias("_path"), F.col("license").alias("_license"), F.col("score").alias("_score"))
-    both = named.join(mine, F.col("path") == F.col("_path"), "left").join(nearest, F.col("_dir") == F.col("dir"), "left")
-    return both.select(*[c for c in files.columns if c != "text"], F.coalesce("_license", "m.license").alias("license"), F.coalesce("_score", -F.col("m.minus")).alias("score"), F.when(F.col("_license").isNotNull(), F.col("path")).otherwise(F.col("m.path")).alias("origin"))
+    kept = [c for c in files.columns if c not in ("text", "license", "score", "origin")]
+    rows = files.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("path").alias("at"), _dir(F.col("path")).alias("in_dir"))
+    mine = own.select(F.col("path").alias("own_path"), F.col("license").alias("own_license"), F.col("score").alias("own_score"))
+    both = rows.join(mine, F.col("at") == F.col("own_path"), "left").join(nearest, F.col("in_dir") == F.col("dir"), "left")
+    return both.select("row.*", F.coalesce("own_license", "m.license").alias("license"), F.coalesce("own_score", -F.col("m.minus")).alias("score"), F.when(F.col("own_license").isNotNull(), F.col("at")).otherwise(F.col("m.path")).alias("origin"))
 
 
 def as_files(docs: DataFrame) -> DataFrame:
@@ -105,22 +173,28 @@ def op6_license_inheritance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(as_files(table(spark, sf_dir, "documents"))).select("doc_id", "path", "license", "score", "origin")
 
 
-_ROWS = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(TEMPLATES))
+_QUOTED = lambda x: "'" + x.replace("'", "''") + "'"
+_ROWS = ", ".join(f"({i}, {_QUOTED(a)}, {full}, {_QUOTED(b)})" for i, a, full, b in templates())
 SQL = rf"""
 WITH f AS (SELECT doc_id, text, coalesce(source, 'none') || '/' || (doc_id // 64) || CASE WHEN doc_id % 64 = 0 THEN '/LICENSE' WHEN doc_id % 8 = 0 THEN '/' || (doc_id // 8 % 8) || '/COPYING' ELSE '/' || (doc_id // 8 % 8) || '/' || doc_id || '.txt' END AS path FROM documents),
-h AS (SELECT path, string_agg(line, ' ') AS header FROM (SELECT path, unnest(string_split(text, chr(10))) AS line FROM f) WHERE regexp_matches(lower(line), '{CUE}') GROUP BY path),
-tp(template, license, header) AS (VALUES {_ROWS}),
-ht AS (SELECT path, unnest(regexp_extract_all(lower(header), '[a-z0-9]+')) AS term FROM h),
-tt AS (SELECT template, unnest(regexp_extract_all(lower(header), '[a-z0-9]+')) AS term FROM tp),
-seen AS (SELECT term FROM (SELECT DISTINCT path, term FROM ht) UNION ALL SELECT term FROM (SELECT DISTINCT template, term FROM tt)),
-idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM h) + {len(TEMPLATES)}) / (1.0 + count(*))) + 1.0 AS idf FROM seen GROUP BY term),
-w AS (SELECT path, term, count(*) * any_value(idf) AS w FROM ht JOIN idf USING (term) GROUP BY path, term),
-t AS (SELECT template, term, count(*) * any_value(idf) AS w FROM tt JOIN idf USING (term) GROUP BY template, term),
-n AS (SELECT path, sqrt(sum(w * w)) AS n FROM w GROUP BY path),
-tn AS (SELECT template, sqrt(sum(w * w)) AS n FROM t GROUP BY template),
-s AS (SELECT w.path, tp.license, round(sum(w.w * t.w / tn.n) / any_value(n.n), 6) AS score FROM w JOIN t USING (term) JOIN tn USING (template) JOIN tp USING (template) JOIN n ON n.path = w.path GROUP BY w.path, tp.license, template),
+tp(template, license, "full", body) AS (VALUES {_ROWS}),
+tt AS (SELECT template, license, "full", unnest(regexp_extract_all(lower(body), '{TERM}')) AS term FROM tp),
+tc AS (SELECT template, license, "full", term, 1.0 + ln(count(*)) AS tf FROM tt GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM f),
+df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{TERM}'))) AS term FROM f) GROUP BY term),
+idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf FROM (SELECT DISTINCT term FROM tc) LEFT JOIN df USING (term), n),
+u AS (SELECT row_number() OVER () AS u, path, "full", unit FROM (
+  SELECT DISTINCT path, false AS "full", unnest(string_split(text, chr(10)) || regexp_split_to_array(text, '{SENTENCE_END}') || regexp_split_to_array(text, '{BLANK}')) AS unit FROM f
+  UNION ALL SELECT path, true, text FROM f WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_NAMES}') AND text IS NOT NULL)),
+ut AS (SELECT u, path, "full", unnest(regexp_extract_all(lower(unit), '{TERM}')) AS term FROM u),
+w AS (SELECT u, path, "full", term, (1.0 + ln(count(*))) * coalesce(any_value(idf), (SELECT ln(1.0 + n) + 1.0 FROM n)) AS w FROM ut LEFT JOIN idf USING (term) GROUP BY ALL),
+t AS (SELECT template, license, "full", term, tf * idf AS w FROM tc JOIN idf USING (term)),
+un AS (SELECT u, sqrt(sum(w * w)) AS size FROM w GROUP BY u),
+tn AS (SELECT template, sqrt(sum(w * w)) AS size FROM t GROUP BY template),
+dot AS (SELECT u, path, license, template, sum(w.w * t.w) AS dot FROM w JOIN t USING (term, "full") GROUP BY ALL),
+s AS (SELECT path, license, round(dot / un.size / tn.size, 6) AS score FROM dot JOIN un USING (u) JOIN tn USING (template)),
 own AS (SELECT path, license, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, license) AS r FROM s WHERE score >= {LEAST_COSINE}) WHERE r = 1),
-m AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license, score, path FROM (SELECT *, row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY score DESC, license, path) AS r FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '^(?i)(licen[cs]e|copying|notice)')) WHERE r = 1),
+m AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license, score, path FROM (SELECT *, row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY score DESC, license, path) AS r FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_NAMES}')) WHERE r = 1),
 d AS (SELECT doc_id, f.path, m.license, m.score, m.path AS origin, row_number() OVER (PARTITION BY doc_id ORDER BY length(m.above) DESC NULLS LAST) AS r FROM f LEFT JOIN m ON starts_with(f.path, m.above || '/'))
 SELECT d.doc_id, d.path, coalesce(own.license, d.license) AS license, coalesce(own.score, d.score) AS score, CASE WHEN own.path IS NOT NULL THEN own.path ELSE d.origin END AS origin
 FROM d LEFT JOIN own ON own.path = d.path WHERE d.r = 1

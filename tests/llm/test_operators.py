@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from foliospark.llm import bpe, common, hnsw, licenses, minhash, packing, preference, quality, registry, secrets, simhash, suffixes, tokens, trigrams
 
@@ -405,6 +406,35 @@ def test_license_inheritance(spark):
     assert out == {"r/LICENSE": ("MIT", "r/LICENSE"), "r/a.py": ("MIT", "r/LICENSE"), "r/s/COPYING": ("Apache-2.0", "r/s/COPYING"), "r/s/b.py": ("Apache-2.0", "r/s/COPYING"), "r/s/t/c.py": ("CC-BY-NC-4.0", "r/s/t/c.py"), "r/s/t/d.py": ("Apache-2.0", "r/s/COPYING"), "q/e.py": (None, None), "q/f.py": (None, None)}
 
 
+def test_full_licence_files_and_clashing_columns(spark):
+    texts = dict(licenses.licence_texts())
+    wrap = lambda t, n: "\n".join("# " + t[i : i + n] for i in range(0, len(t), n))
+    rows = [(f"{k}/LICENSE", t.replace("<year> <copyright holders>", "2020 A. Person"), "x", 1) for k, t in texts.items()] + [(f"{k}/code.py", "code", "x", 1) for k in texts]
+    notice = dict(licenses.TEMPLATES)["BSD-3-Clause"]
+    half = notice.index(" in source")
+    rows += [("h/a.py", f"import os\n\n# {notice[:half]}\n#{notice[half:]}\n\n" + "some code here\n" * 50, "x", 1), ("h/b.py", "Some words before that. Licensed under CC BY-SA 4.0. And after it a great many other words " + "go on " * 40, "x", 1)]
+    rows += [("two/LICENSE", "nothing", "x", 1), ("two/LICENSE", "Released under the MIT License.", "x", 1), ("two/LICENSE", "Released under the MIT License.", "x", 1), (None, texts["MIT"], "x", 1), ("two/c", None, "x", 1), ("prose/LICENSE", "the of to and a in that is for you or not " * 200, "x", 1)]
+    files = spark.createDataFrame(rows, "path string, text string, license string, dir long").withColumn("m", F.lit(1)).withColumn("own_path", F.lit(2)).withColumn("score", F.lit("s"))
+    out = licenses.scan(files)
+    assert out.columns == ["path", "dir", "m", "own_path", "license", "score", "origin"] and out.count() == len(rows)
+    got = {r.path: (r.license, r.origin) for r in out.collect()}
+    for k in texts:
+        assert got[f"{k}/LICENSE"] == got[f"{k}/code.py"] == (k, f"{k}/LICENSE")
+    assert got["h/a.py"][0] == "BSD-3-Clause" and got["h/b.py"][0] == "CC-BY-SA-4.0"
+    assert got["two/LICENSE"] == got["two/c"] == ("MIT", "two/LICENSE") and got[None] == got["prose/LICENSE"] == (None, None)
+
+
+def test_key_terms_lose_nothing():
+    rng = random.Random(8)
+    for _ in range(200):
+        v = {str(i): rng.random() ** 3 for i in range(rng.randrange(1, 30))}
+        size = sum(x * x for x in v.values()) ** 0.5
+        v = {k: x / size for k, x in v.items()}
+        keys = licenses.key_terms(v, 0.6)
+        rest = sum(v[k] ** 2 for k in set(v) - keys)  # the square of the best cosine of a unit without key terms
+        assert keys and rest < 0.36 and rest + min(v[k] for k in keys) ** 2 >= 0.36 - 1e-5
+
+
 @pytest.mark.parametrize("name", ["op3_host_quality", "op5_preference_pairs", "op6_license_inheritance"])
 def test_sql_twins(spark, name):
     d, con = "/root/testdata/sf0.001", duckdb.connect()
