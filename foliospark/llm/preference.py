@@ -7,8 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
+#: Shared openings (a 32-byte hash and an id) that a broadcast may hold.
+MAX_BROADCAST_HEADS = 100_000
+#: Parts to which the conversations of one opening are dealt beyond it.
+SALT = 32
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 
 
@@ -26,6 +30,15 @@ def _mask(turns: Column) -> Column:
     return F.aggregate(turns, F.struct(F.lit(0).alias("at"), F.lit("").alias("spans")), step)["spans"]
 
 
+def _members(opening: DataFrame, heads: DataFrame) -> DataFrame:
+    """opening with its head, where it has one. An opening of any share of the rows stays in the tasks it is in (few
+    heads: broadcast) or goes to SALT of them."""
+    if heads.count() <= MAX_BROADCAST_HEADS:
+        return opening.join(F.broadcast(heads), "opening")
+    dealt = opening.withColumn("salt", F.pmod(F.xxhash64("conv_id"), F.lit(SALT)).cast("int"))
+    return dealt.join(heads.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALT))))), ["opening", "salt"]).drop("salt")
+
+
 def pairs_from(conversations: DataFrame) -> DataFrame:
     """Turns of preference pairs out of plain conversations: pair_id, side, turn, role, text.
 
@@ -33,7 +46,8 @@ def pairs_from(conversations: DataFrame) -> DataFrame:
     empty text where they are the same turn); conversations without an assistant turn give none. `same-<id>`: among
     conversations that open with the same turn the smallest conv_id is chosen over each other one. A group of any size
     is paired with its first member only, so rows grow with the turns; its turns are joined by conv_id, never as pairs
-    of the group. Null roles and texts are empty; turns repeated as they are stay.
+    of the group. Null roles and texts are empty; turns repeated as they are stay; rows without a conv_id go; other
+    columns aren't read; an empty table gives no rows.
     """
     t = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).where("conv_id is not null")
     own = W.partitionBy("conv_id")
@@ -41,9 +55,9 @@ def pairs_from(conversations: DataFrame) -> DataFrame:
     s = t.withColumn("first", F.min(said).over(own)).withColumn("last", F.max(said).over(own)).where("last is not null")
     other = F.when((F.col("turn") == F.col("last.turn")) & (F.col("role") == "assistant"), F.when(F.col("first.turn") == F.col("last.turn"), F.lit("")).otherwise(F.col("first.text"))).otherwise(F.col("text"))
     swap = s.select(F.concat(F.lit("swap-"), F.col("conv_id").cast("string")).alias("pair_id"), F.explode(F.array(F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text")), F.struct(F.lit("rejected").alias("side"), other.alias("text")))).alias("x"), "turn", "role").select("pair_id", "x.side", "turn", "role", "x.text")
-    opening = t.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("o")).select("conv_id", F.sha2(F.concat_ws("\n", "o.role", "o.text"), 256).alias("opening"))
-    heads = opening.groupBy("opening").agg(F.min("conv_id").alias("head"), F.count("*").alias("size")).where("size > 1")
-    member = opening.join(heads, "opening").where("conv_id <> head").select("conv_id", "head", F.concat(F.lit("same-"), F.col("conv_id").cast("string")).alias("pair_id"))
+    opening = cut(t.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("o")).select("conv_id", F.unhex(F.sha2(F.concat_ws("\n", "o.role", "o.text"), 256)).alias("opening")))
+    heads = cut(opening.groupBy("opening").agg(F.min("conv_id").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size"))
+    member = _members(opening, heads).where("conv_id <> head").select("conv_id", "head", F.concat(F.lit("same-"), F.col("conv_id").cast("string")).alias("pair_id"))
     rejected = member.join(t, "conv_id").select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")
     chosen = member.select("head", "pair_id").join(t, F.col("head") == F.col("conv_id")).select("pair_id", F.lit("chosen").alias("side"), "turn", "role", "text")
     return swap.union(rejected).union(chosen)

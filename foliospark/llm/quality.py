@@ -15,7 +15,14 @@ GAP = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_HOST_RATE = 0.5
+#: A host is bad if its rate lies so many standard deviations of the prior above the prior's mean,
+PRIOR_DEVIATIONS = 3.0
+#: and at this multiple of that mean at least, so that hosts that differ little are all kept;
+LEAST_MULTIPLE = 2.0
+#: however wide the prior is, no more than this part of the way from the mean to 1 is asked for.
+MOST_PART = 0.5
+#: Bounds of the prior's weight in documents: hosts that differ no more than chance says share one rate.
+MIN_WEIGHT, MAX_WEIGHT = 1.0, 1e6
 
 
 def _repeat_words(words: Column) -> Column:
@@ -54,32 +61,37 @@ def rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFram
     return m.withColumn("base_failed", base).withColumn("any_failed", base | soft)
 
 
-def host_verdicts(ruled: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def host_verdicts(ruled: DataFrame) -> DataFrame:
     """host, n, failed, rate, host_ok. The prior is Beta(m*k, (1-m)*k): m the failure rate of all documents, k from the
-    variance between hosts by moments, held in [1, 1e6]. rate = (failed + m*k) / (n + k); host_ok: rate <= max_rate."""
-    hosts = ruled.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("any_failed").cast("long")).alias("failed"))
-    hosts = cut(hosts)
-    n, x = (v or 0 for v in hosts.agg(F.sum("n"), F.sum("failed")).first())
-    mean = x / n if n else 0.0
-    spread = hosts.agg(F.sum(F.col("n") * (F.col("failed") / F.col("n") - mean) ** 2)).first()[0] or 0.0
-    k = min(1e6, max(1.0, mean * (1 - mean) / (spread / n) - 1)) if n and spread > 0 else 1e6
-    rate = (F.col("failed") + mean * k) / (F.col("n") + k)
-    return hosts.withColumn("rate", rate).withColumn("host_ok", F.col("rate") <= max_rate)
-
-
-def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    variance between hosts by moments, after what sampling alone gives (m * (1-m) * (hosts - 1)) is taken off.
+    rate = (failed + m*k) / (n + k). A host is bad if its rate exceeds the prior's upper limit: m + 3 standard
+    deviations of the prior, at least 2 * m, at most halfway from m to 1. No documents give no rows."""
+    hosts = cut(ruled.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("any_failed").cast("long")).alias("failed")))
+    total, failed, squares, count = hosts.agg(F.sum("n"), F.sum("failed"), F.sum(F.col("n").cast("double") * F.col("n")), F.count("*")).first()
+    if not total:
+        return hosts.withColumn("rate", F.lit(0.0)).withColumn("host_ok", F.lit(True))
+    m = failed / total
+    spread = hosts.agg(F.sum(F.col("n") * (F.col("failed") / F.col("n") - m) ** 2)).first()[0]
+    free = total - squares / total
+    between = (spread - m * (1 - m) * (count - 1)) / free if free > 0 else 0.0
+    k = min(MAX_WEIGHT, max(MIN_WEIGHT, m * (1 - m) / between - 1)) if between > 0 else MAX_WEIGHT
+    limit = min(max(m + PRIOR_DEVIATIONS * (m * (1 - m) / (k + 1)) ** 0.5, LEAST_MULTIPLE * m), m + MOST_PART * (1 - m))
+    return hosts.withColumn("rate", (F.col("failed") + m * k) / (F.col("n") + k)).withColumn("host_ok", F.col("rate") <= limit)
+
+
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """rules() with kept: base rules passed and the host's verdict good. The counts are written once to the shared
     folder, so texts are read once; empty input gives no rows."""
     ruled = cut(rules(docs, host))
-    verdicts = host_verdicts(ruled, max_rate).select(F.col("host").alias("_host"), "host_ok")
+    verdicts = host_verdicts(ruled).select(F.col("host").alias("_host"), "host_ok")
     out = ruled.join(verdicts, F.col("host").eqNullSafe(F.col("_host")), "left")
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))).drop("_host")
 
 
-def keep(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that judge() keeps, with the columns of docs. Texts aren't shuffled: the base rules are evaluated
     again beside them and only the hosts' verdicts are joined."""
-    verdicts = host_verdicts(cut(rules(docs, host).select("host", "any_failed")), max_rate)
+    verdicts = host_verdicts(cut(rules(docs, host).select("host", "any_failed")))
     bad = verdicts.where("not host_ok").select(F.col("host").alias("_bad_host"))
     m = measures(F.col("text"))
     sized = docs.withColumn("_m", m)
@@ -104,10 +116,10 @@ m AS (SELECT doc_id, source, coalesce(n_words, 0) AS n_words, coalesce(word_char
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
 a AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 15 * n_words OR word_chars < 2 * n_words AS any_failed FROM b),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (any_failed) AS x FROM a GROUP BY source),
-z AS (SELECT sum(x) / sum(n) AS mean FROM h),
-s AS (SELECT any_value(mean) AS mean, sum(n * (x / n - mean) ** 2) / sum(n) AS v FROM h, z),
-k AS (SELECT mean, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / v - 1)) ELSE 1e6 END AS k FROM s),
-v AS (SELECT source, (x + mean * k) / (n + k) <= {MAX_HOST_RATE} AS host_ok FROM h, k)
+z AS (SELECT sum(x) / sum(n) AS m, sum(n) AS total, sum(n) - sum(n::DOUBLE * n) / sum(n) AS free, count(*) AS hosts FROM h),
+s AS (SELECT any_value(m) AS m, CASE WHEN any_value(free) > 0 THEN (sum(n * (x / n - m) ** 2) - any_value(m * (1 - m) * (hosts - 1))) / any_value(free) ELSE 0 END AS v FROM h, z),
+k AS (SELECT m, CASE WHEN v > 0 THEN least({MAX_WEIGHT}, greatest({MIN_WEIGHT}, m * (1 - m) / v - 1)) ELSE {MAX_WEIGHT} END AS k FROM s),
+v AS (SELECT source, (x + m * k) / (n + k) <= least(greatest(m + {PRIOR_DEVIATIONS} * sqrt(m * (1 - m) / (k + 1)), {LEAST_MULTIPLE} * m), m + {MOST_PART} * (1 - m)) AS host_ok FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_ok AS kept
 FROM a JOIN v ON a.source IS NOT DISTINCT FROM v.source
 """

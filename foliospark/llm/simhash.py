@@ -1,8 +1,10 @@
 """SimHash near-duplicates by a Gray-order hierarchical index.
 
-Fingerprints within 3 of 64 bits agree on at least one of their four 16-bit quarters. So each distinct fingerprint is
-seen in four views, one for each quarter, turned so that the quarter leads; an upper node of a view holds all that
-share its leading quarter (no difference spent there). Below it the fingerprints are sorted by Gray rank, consecutive
+Fingerprints cut into p parts agree on at least p - 3 of them if they are within 3 of 64 bits. So each distinct
+fingerprint is seen in a view for each choice of p - 3 parts, its bits put in another order so that these lead; an upper
+node of a view holds all that share the leading parts (no difference spent there). p grows with the table (4 parts of
+16 bits, 4 views; 5 parts, 10 views; 6 parts, 20 views; ...), so that an upper node holds NODE members on average at
+most and work stays in proportion to the fingerprints. Below it the fingerprints are sorted by Gray rank, consecutive
 ones are grouped into nodes, the bit pattern that all members share (under a mask) is factored into the node, and
 groups of nodes form further nodes. Two nodes are compared once for all their members: differences in the bits that
 both have fixed accumulate on the way down, and the pair is pruned with everything below it once they exceed 3.
@@ -11,6 +13,8 @@ Nodes of a partition are traversed together with numpy. Links go out as a spanni
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,7 +31,10 @@ SHINGLE = 3
 FANOUT = 8
 #: Members of an upper node that one task compares; larger ones are dealt to blocks and every pair of blocks is compared.
 BLOCK = 8192
-#: 8-byte ids that a broadcast may hold: some 32 MB as a hash table.
+#: Average members of an upper node beyond which a finer top level is taken.
+NODE = 64
+MOST_PARTS = 8
+#: 8-byte ids or keys that a broadcast may hold: some 32 MB as a hash table.
 MAX_BROADCAST_IDS = 1_000_000
 #: Node pairs compared at once.
 FRONT = 1 << 20
@@ -112,26 +119,44 @@ def linked(group: np.ndarray, code: np.ndarray, max_bits: int = MAX_BITS) -> np.
     return lab
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def parts_for(n: int, node: int = NODE) -> int:
+    """Parts of a fingerprint for a table of n: of p parts p - 3 lead, in choose(p, 3) views."""
+    return next((p for p in range(MAX_BITS + 1, MOST_PARTS) if n <= node << (64 * (p - MAX_BITS) // p)), MOST_PARTS)
+
+
+def turned(x: np.ndarray, parts: int, lead: tuple[int, ...]) -> tuple[np.ndarray, int]:
+    """Codes with the bits of the leading parts first, and the number of these bits."""
+    edges = [64 * k // parts for k in range(parts + 1)]
+    out, leading = np.zeros_like(x), sum(edges[k + 1] - edges[k] for k in lead)
+    for k in [*lead, *(k for k in range(parts) if k not in lead)]:
+        width = edges[k + 1] - edges[k]
+        out = (out << np.uint64(width)) | ((x >> np.uint64(64 - edges[k + 1])) & np.uint64((1 << width) - 1))
+    return out, leading
+
+
+def links(distinct: DataFrame, node: int = NODE) -> DataFrame:
     """Edges u, v between the `rep`s of distinct fingerprints (fp, rep), whose components are those of all links."""
-    spark = distinct.sparkSession
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("gray", T.LongType()), T.StructField("code", T.LongType()), T.StructField("rep", T.LongType())])
+    parts = parts_for(distinct.count(), node)
+    views = list(itertools.combinations(range(parts), parts - MAX_BITS))
 
-    def views(batches):
+    def seen_in(batches):
         for batch in batches:
             x = batch.column(0).to_numpy().view(np.uint64)
-            for v in range(4):
-                turned = x if not v else (x << np.uint64(16 * v)) | (x >> np.uint64(64 - 16 * v))
-                key = (turned >> np.uint64(48)).astype(np.int64) + (v << 16)
-                order = signed(gray_rank(turned) ^ np.uint64(1 << 63))  # signed order is the unsigned one
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(order), pa.array(signed(turned)), batch.column(1)], schema.names)
-
-    seen = distinct.select("fp", "rep").mapInArrow(views, schema)
-    hot = seen.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    # four views of 65,536 quarters: never more than 262,144 keys
-    dealt = seen.join(F.broadcast(hot), "key", "left").withColumn("own", F.pmod(F.xxhash64("code"), F.coalesce("blocks", F.lit(1))).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "gray", "code", "rep")
+            for v, lead in enumerate(views):
+                code, leading = turned(x, parts, lead)
+                key = (code >> np.uint64(64 - leading)).astype(np.int64) + (v << leading)
+                order = signed(gray_rank(code) ^ np.uint64(1 << 63))  # signed order is the unsigned one
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(order), pa.array(signed(code)), batch.column(1)], schema.names)
+
+    seen = distinct.select("fp", "rep").mapInArrow(seen_in, schema)
+    hot = cut(seen.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    if crowded := hot.count():
+        dealt = seen.join(F.broadcast(hot) if crowded <= MAX_BROADCAST_IDS else hot, "key", "left").withColumn("own", F.pmod(F.xxhash64("code"), F.coalesce("blocks", F.lit(1))).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+        dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "gray", "code", "rep")
+    else:
+        dealt = seen.select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), "gray", "code", "rep")
     spread = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "gray")
     edge = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
@@ -139,8 +164,8 @@ def links(distinct: DataFrame) -> DataFrame:
         held: list[np.ndarray] = []
 
         def flush(rows):
-            key = (rows[:, 0] << 40) ^ (rows[:, 1] << 20) ^ rows[:, 2]
-            lab = linked(key, np.ascontiguousarray(rows[:, 4]).view(np.uint64))
+            new = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+            lab = linked(np.concatenate([[0], np.cumsum(new)]), np.ascontiguousarray(rows[:, 4]).view(np.uint64))
             own = np.flatnonzero(lab != np.arange(len(lab)))
             if len(own):
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[own, 5])), pa.array(np.ascontiguousarray(rows[lab[own], 5]))], edge.names)
@@ -164,12 +189,13 @@ def links(distinct: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id for every row of docs; component_id is the smallest doc_id reachable by links of at
     most 3 differing bits. Equal fingerprints (all texts without words among them) are one class. Repeated rows each
-    get their row; empty input gives none; doc_id is an integer."""
+    get their row; empty input gives none; doc_id is an integer (rows without one are classed, but name no class that
+    has others). Texts of any length are read whole; columns but doc_id and text aren't read."""
     prints = cut(fingerprints(docs))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep")).where("rep is not null"))
     found = components(links(distinct))
     named = distinct.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -120,6 +120,29 @@ def test_gray_index_finds_every_link():
     assert lab.tolist() == [want[i] for i in range(len(code))]
 
 
+def test_views_lose_no_link(spark, monkeypatch):
+    """Every top level, dealt blocks and small Arrow batches give the same classes."""
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 1 << 63, 60, np.uint64)
+    code = centre
+    for _ in range(3):
+        code = np.unique(np.concatenate([code, *(code ^ (np.uint64(1) << rng.integers(0, 64, len(code)).astype(np.uint64)) for _ in range(2))]))
+    code = rng.permutation(code)[:700]
+    want = components(range(len(code)), [(a, int(b)) for a in range(len(code)) for b in np.flatnonzero(np.bitwise_count(code ^ code[a]) <= 3) if a < b])
+    rows = spark.createDataFrame([(int(c.view(np.int64)), i) for i, c in enumerate(code)], "fp long, rep long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        for parts, block in ((4, 8192), (4, 5), (5, 8192), (6, 2)):
+            monkeypatch.setattr(simhash, "BLOCK", block)
+            monkeypatch.setattr(simhash, "parts_for", lambda n, node=64, p=parts: p)
+            got = {r.node: r.component for r in common.components(simhash.links(rows)).collect()}
+            assert {i: got.get(i, i) for i in range(len(code))} == want, (parts, block)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.undo()
+    assert [simhash.parts_for(n) for n in (1, 1 << 22, 1 << 23, 1 << 31, 1 << 33, 1 << 39)] == [4, 4, 5, 5, 6, 7]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, k) for k in range(2, 40)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)] + [(7, 7)]
@@ -387,6 +410,26 @@ def test_bad_host_is_rejected_and_small_ones_shrink(spark):
     assert not v["bad"].host_ok and v["good"].host_ok and v["tiny"].rate < 1.0 and None in v
 
 
+def test_hosts_that_differ_by_chance_are_kept(spark):
+    rng = random.Random(19)
+    rows = [(i, words(rng, 40) if rng.random() > 0.1 else "junk", "en", f"h{i % 30}", 1) for i in range(1500)]
+    v = quality.host_verdicts(quality.rules(spark.createDataFrame(rows, DOC))).collect()
+    assert all(r.host_ok for r in v) and max(r.rate for r in v) - min(r.rate for r in v) < 0.1
+    worse = [(2000 + i, "junk" if i % 3 else words(rng, 40), "en", "worse", 1) for i in range(60)]
+    v = {r.host: r.host_ok for r in quality.host_verdicts(quality.rules(spark.createDataFrame(rows + worse, DOC))).collect()}
+    assert not v.pop("worse") and all(v.values())
+
+
+def test_hot_openings_either_way(spark, monkeypatch):
+    rows = [(i, k, ("user", "assistant")[k % 2], "hello" if i % 3 and not k else f"{i} {k}") for i in range(60) for k in range(3)] + [(None, 0, "user", "hello")]
+    t = spark.createDataFrame(rows + rows[:3], "conv_id long, turn long, role string, text string").withColumn("head", F.lit(1)).withColumn("opening", F.lit("x"))
+    few = sorted(map(tuple, preference.format_pairs(preference.pairs_from(t)).collect()))
+    monkeypatch.setattr(preference, "MAX_BROADCAST_HEADS", 0)
+    assert few == sorted(map(tuple, preference.format_pairs(preference.pairs_from(t)).collect()))
+    assert sum(r[0].startswith("same-") for r in few) == 39
+    assert preference.format_pairs(preference.pairs_from(t.where("false"))).count() == 0
+
+
 def test_preference_pairs(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (2, 0, "user", "a"), (2, 1, "assistant", "x"), (3, 0, "system", None), (4, 0, "user", "q"), (4, 1, "assistant", "r")]
     out = {r.pair_id: r for r in preference.format_pairs(preference.pairs_from(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
