@@ -386,6 +386,46 @@ def test_neighbours(spark):
     assert hnsw.nearest(df.where("false"), df).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["normal", "varied", "unit", "wide"])
+def test_recall_of_the_registered_settings(kind):
+    """A shard of the registered size against brute force, also where lengths differ."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(hnsw.SHARD, 128 if kind == "wide" else 64))
+    x *= rng.lognormal(0, 0.6, (len(x), 1)) if kind == "varied" else 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True) if kind == "unit" else 1
+    graphs = [hnsw.Graph(hnsw.Graph.make(x[own]) | {"members": [[int(i)] for i in own]}, x.shape[1]) for own in hnsw.length_ranges(np.linalg.norm(x, axis=1))]
+    asked = rng.choice(len(x), 100, False).tolist()
+    best = [[] for _ in asked]
+    for g in graphs:
+        g.nearest(asked, x[asked], best, hnsw.TOP, hnsw.BEAM)
+    score = x[asked] @ x.T
+    score[np.arange(100), asked] = -np.inf
+    true = np.argsort(-score, 1)[:, : hnsw.TOP]
+    assert np.mean([len({-v for _, v in b} & set(t.tolist())) for b, t in zip(best, true, strict=True)]) >= 0.95 * hnsw.TOP
+
+
+def test_every_node_can_be_reached():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(300, 4)) * 1e-3 + c for c in rng.normal(size=(9, 4)) * 50]).astype(np.float32)
+    layers = hnsw.build(x, degree=4, beam=8)
+    nodes, nb = layers[-1]
+    full = np.empty_like(nb)
+    full[nodes] = nb
+    seen, front = set(), {int(layers[0][0][0])}
+    while front:
+        seen |= front
+        front = {int(v) for k in front for v in full[k] if v >= 0} - seen
+    assert len(seen) == len(x)
+
+
+def test_vectors_of_any_size_and_length(spark):
+    big = [3e200, -1.0, 2.0]
+    rows = [(0, big), (20, [1.0, 0.0]), (1, [2.0, 0.0, 0.0]), (1, [2.0, 0.0, 0.0]), (2, [-1e-200, 0.0, 5.0]), (3, [0.0, 1e307, 1e307])]
+    df = hnsw.valid(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("r", F.lit(1)), "vec_id", "embedding")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in hnsw.nearest(df, df.where("vec_id % 20 = 0")).collect()}
+    assert got == {(20, 1): (0, 3e200), (20, 2): (1, 2.0), (20, 3): (3, 0.0), (20, 4): (2, -1e-200), (0, 1): (3, 1e307), (0, 2): (1, 6e200), (0, 3): (20, 3e200), (0, 4): (2, -3.0 + 10.0)}
+
+
 def rule_table(spark, corpus):
     docs = make(spark, [*corpus, "### $$$ %%% a b c d e f g h", "one two three four five six seven eight nine ten"])
     pdf = docs.toPandas()  # noqa: F841  DuckDB reads it by name
