@@ -8,7 +8,7 @@ full licence texts. The best cosine counts.
 Most lines can't reach the threshold, and those go before their terms are counted, without loss: by Cauchy-Schwarz a
 unit's cosine to a template is at most the length of the part of the (normed) template whose terms the unit has. So
 every template has key terms, the heaviest ones, without which the rest is too short; a unit with none of any
-template's key terms is out.
+template's key terms is out, and of the others those whose part is too short for every template.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def templates() -> list[tuple[int, str, bool, str]]:
 
 
 def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), f"[^{TERM[1:-2]}]+"), "")
 
 
 def _words(text: str) -> list[str]:
@@ -104,6 +104,13 @@ def key_terms(weights: dict[str, float], least: float) -> set[str]:
     return set(weights) - light
 
 
+def _reach(unit: Column, vectors: list[dict[str, float]]) -> Column:
+    """The most that a unit's cosine to any of the vectors can be: the length of the part whose terms it has."""
+    squares = F.create_map(*[x for t in sorted(set().union(*vectors)) for x in (F.lit(t), F.array(*[F.lit(v.get(t, 0.0) ** 2) for v in vectors]))])
+    hits = F.array_intersect(_terms(unit), F.map_keys(squares))
+    return F.sqrt(F.array_max(F.aggregate(hits, F.array(*[F.lit(0.0)] * len(vectors)), lambda sums, t: F.zip_with(sums, squares[t], lambda a, b: a + b))))
+
+
 def own_licenses(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """path, license, score of files (path, text) of which a unit comes close enough to a template; the best one, ties
     by license. Rows of one path count together. Units of a file: lines, sentences of a line, blocks of lines; these
@@ -117,19 +124,20 @@ def own_licenses(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     near = files.where(F.lower("text").rlike(possible))
     text = F.col("text")
     pieces = F.flatten(F.array(F.split(text, "\n"), F.split(text, SENTENCE_END), F.split(text, BLANK)))
-    parts = near.select("path", F.explode(F.array_distinct(pieces)).alias("unit")).where(F.lower("unit").rlike(possible)).withColumn("full", F.lit(False))
+    parts = near.select("path", F.explode(F.array_distinct(F.filter(pieces, lambda x: F.lower(x).rlike(possible)))).alias("unit"))
+    parts = parts.where(_reach(F.col("unit"), [v for *_, full, v in vectors if not full]) >= least - 1e-6).withColumn("full", F.lit(False))
     whole = files.where(_named_license(F.col("path")) & text.isNotNull()).select("path", text.alias("unit"), F.lit(True).alias("full"))
     # an id is needed for each unit: the cut fixes it
     units = cut(parts.union(whole).withColumn("unit_id", F.monotonically_increasing_id()))
-    counted = units.select("unit_id", "path", "full", F.explode(_terms(F.col("unit"))).alias("term")).groupBy("unit_id", "path", "full", "term").agg(F.count("*").alias("tf"))
+    counted = units.select("unit_id", "full", F.explode(_terms(F.col("unit"))).alias("term")).groupBy("unit_id", "full", "term").agg(F.count("*").alias("tf"))
     # constant tables: the templates' terms
     weights = spark.createDataFrame(list(idf.items()), "term string, idf double")
     wide = spark.createDataFrame([(i, name, full, t, w) for i, name, full, v in vectors for t, w in v.items()], "template int, license string, full boolean, term string, tw double")
-    w = cut(counted.join(F.broadcast(weights), "term", "left").select("unit_id", "path", "full", "term", ((1.0 + F.log("tf")) * F.coalesce("idf", F.lit(unseen))).alias("w")))
+    w = cut(counted.join(F.broadcast(weights), "term", "left").select("unit_id", "full", "term", ((1.0 + F.log("tf")) * F.coalesce("idf", F.lit(unseen))).alias("w")))
     size = w.groupBy("unit_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    dot = w.join(F.broadcast(wide), ["term", "full"]).groupBy("unit_id", "path", "license", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = dot.join(size, "unit_id").select("path", "license", F.round(F.col("dot") / F.col("size"), 6).alias("score")).where(F.col("score") >= least)
-    best = scored.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    dot = w.join(F.broadcast(wide), ["term", "full"]).groupBy("unit_id", "license", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = dot.join(size, "unit_id").select("unit_id", "license", F.round(F.col("dot") / F.col("size"), 6).alias("score")).where(F.col("score") >= least)
+    best = scored.join(units.select("unit_id", "path"), "unit_id").groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("path", "b.license", (-F.col("b.minus")).alias("score"))
 
 

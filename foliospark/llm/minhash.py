@@ -168,6 +168,15 @@ def _units(own: DataFrame) -> DataFrame:
     return map_batches(own, make, schema, limit=STEP)
 
 
+def _different(units: DataFrame, bands: list[str]) -> DataFrame:
+    """A row for each fp: fp, doc_id and paragraph (the first there), several (in more places than one), bands. `again`
+    leaves one row for each fp and text, so that the first text names one paragraph; a row repeated under its doc_id is
+    no other place."""
+    first = F.min_by("paragraph", F.when(~F.col("again"), F.col("doc_id")))
+    found = units.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), first.alias("paragraph"), F.max("doc_id").alias("to"), F.max("again").alias("again"), *[F.first(b).alias(b) for b in bands])
+    return found.select("fp", "doc_id", "paragraph", ((F.col("doc_id") < F.col("to")) | F.col("again")).alias("several"), *bands)
+
+
 def _buckets(different: DataFrame) -> DataFrame:
     """band, fp: the members of every bucket that has at least two. `different`: fp and its bands, a row for each fp."""
     rows = different.where("b0 is not null").select(F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("band"), "fp")
@@ -305,13 +314,12 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int
     own = texts(docs).where("doc_id is not null")
     units = cut(_units(own))
     bands = [f"b{i}" for i in range(BANDS)]
-    # `again` leaves one row for each fp and text, so that the first text has one paragraph to name; a row repeated
-    # under its doc_id is counted once
-    exact = units.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min_by("paragraph", F.when(~F.col("again"), F.col("doc_id"))).alias("paragraph"), F.max("doc_id").alias("to"), F.max("paragraph").alias("most"), F.min("paragraph").alias("least"), *[F.first(b).alias(b) for b in bands])
-    several = (F.col("doc_id") < F.col("to")) | (F.col("least") < F.col("most"))
-    exact = cut(exact.select("fp", "doc_id", "paragraph", several.alias("several"), *bands).where("several or b0 is not null"))
-    members = cut(_buckets(exact))
-    near = members.select("fp").distinct().join(exact.select("fp", "doc_id", "paragraph"), "fp").groupBy("doc_id").agg(F.collect_list("paragraph").alias("numbers"))
+    # paragraphs and chunks one after the other, and bands only as long as they are needed: less is on disk at once
+    banded = cut(_different(units.where("not chunk"), bands).where("several or b0 is not null"))
+    members = cut(_buckets(banded))
+    exact = cut(banded.drop(*bands).union(_different(units.where("chunk"), []).where("several")))
+    drop_cut(banded)
+    near = members.select("fp").distinct().join(exact.drop("several"), "fp").groupBy("doc_id").agg(F.collect_list("paragraph").alias("numbers"))
 
     def shingled():
         def step(batch):
@@ -337,7 +345,7 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int
     for done in (members, sets):
         drop_cut(done)
     found = components(edges)
-    named = exact.select("fp", "doc_id", "paragraph", "several").join(found, F.col("fp") == F.col("node"), "left").where("several or component is not null")
+    named = exact.join(found, F.col("fp") == F.col("node"), "left").where("several or component is not null")
     named = named.select("fp", "doc_id", "paragraph", F.coalesce("component", "fp").alias("class"))
     heads = named.groupBy("class").agg(F.min(F.struct("doc_id", "paragraph")).alias("keeper"))
     of = named.join(heads, "class").select("fp", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.paragraph").alias("keeper_paragraph"))
