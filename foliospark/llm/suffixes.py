@@ -2,18 +2,20 @@
 
 Ranking every byte's suffix would move each byte's (position, rank) pair through one sort per doubling. Equal ranks are
 all that is asked for, and only up to 100 bytes, so positions are first thinned without loss: every 100-byte string is
-filed under the least hash of its 32-byte substrings, and neighbouring starts filed under the same value form one run.
-Equal strings are filed under equal values, so the runs are what Spark sorts, by (rank of 32 bytes, rank of the run's
-whole extent):
-
-1. a run whose 32-byte value is unique has no repeat and leaves;
-2. a run whose extent (all its 100-byte strings at once) has an earlier equal is a repeat from end to end and leaves;
-3. of the rest, the first of each extent under a shared value, the offset grows: the seed's rank is paired with the
-   rank of the 34 bytes before or after it, and strings whose pair is unique leave;
-4. what remains has its 100-byte strings ranked one by one: past the threshold of 100 bytes a string is a repeat if its
-   rank occurs earlier.
-
-Ranks are 64-bit hashes, compared as pairs: 128 bits decide.
+filed under the least hash of its 32-byte substrings, its seed, and neighbouring starts filed under the same value form
+one run. Equal strings are filed under equal seeds, so the runs' seeds are the positions that Spark sorts:
+
+1. 32 bytes. Runs are sorted by seed; each different seed gets its number in that order as its rank. A run whose seed is
+   unique has no repeat and leaves; a run whose extent (all its 100-byte strings at once) has an earlier equal is a
+   repeat from end to end and leaves.
+2. 66 bytes. Of the rest, the first of each extent under a rank, pairs (rank of the seed, the 34 bytes beside it) are
+   sorted and numbered anew; strings whose pair is unique leave. A string takes the bytes to the left of its seed if it
+   has so many there, else those to the right; of several equal seeds in a string the first counts.
+3. 100 bytes. Pairs (rank of 66 bytes, what is left of the string at its two ends) are sorted; past the threshold a
+   string is a repeat if its pair occurs earlier.
+
+Each round's pair holds the rank that the round before gave; its other half names the bytes that come in by a 64-bit
+hash, as only seeds are ranked. Ranks are numbers within a sorted partition, with the partition's number in front.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 
 from .arrow import map_batches, steps, texts
 from .common import cut, table
-from .rolling import Prefix, signed, sliding
+from .rolling import Prefix, mix, signed, sliding
 
 LENGTH = 100
 SEED_LENGTH = 32
@@ -79,14 +81,32 @@ def runs(values: list[bytes], length: int = LENGTH, seed: int = SEED_LENGTH):
     return doc, a - (ends[doc] - sizes[doc]), b - a, least[a], extent, many[of]
 
 
+def _once(doc: np.ndarray, start: np.ndarray, count: np.ndarray, k: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's runs (doc: ids): the first of each extent, and the others, which repeat it. A hot seed of copies so
+    comes to its task once for each block. Rows of a text repeated under its doc_id are neither."""
+    order = np.lexsort((start, doc, count, e, k))
+    new = np.concatenate([[True], (k[order[1:]] != k[order[:-1]]) | (e[order[1:]] != e[order[:-1]]) | (count[order[1:]] != count[order[:-1]])])
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return order[new], order[~new & ((doc[order] != doc[first]) | (start[order] != start[first]))]
+
+
 def _split(sorted_runs: DataFrame) -> DataFrame:
-    """Of runs sorted by (k, e, doc_id, at): repeats (k null) and the firsts that need a closer look (k kept)."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "at", "k")])
+    """Of runs sorted by (k, e, doc_id, at): repeats (k null) and the firsts that need a closer look (k kept), with the
+    rank of their seed. Runs without k are repeats already."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "at", "k", "rank")])
 
     def run(batches):
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << 40
+        number = 0  # of the seed last seen
         last = None  # k, e, doc_id, at of the row before
         waiting = None  # the only first of the group so far, if it hasn't gone out
         for batch in batches:
+            if known := batch.column(0).null_count:
+                none = pa.nulls(known, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(0, known), batch.column(3).slice(0, known), none, none], schema.names)
+                batch = batch.slice(known)
             if not batch.num_rows:
                 continue
             k, e, doc, at = (c.to_numpy() for c in batch.columns)
@@ -96,6 +116,8 @@ def _split(sorted_runs: DataFrame) -> DataFrame:
             new_e = new_k | (e != lag(e, before[1])) | ((at & 0xFF) >> 1 != (lag(at, before[3]) & 0xFF) >> 1)
             itself = (doc == lag(doc, before[2])) & (at == lag(at, before[3])) & ~new_e
             group = np.cumsum(new_k)
+            rank = base + number + group
+            number += int(group[-1])
             firsts = np.bincount(group[new_e], minlength=group[-1] + 1)
             out = [waiting] if waiting is not None and firsts[0] else []
             if group[0] == 0:  # the last batch's group goes on; unless its one first waits, what comes is not alone
@@ -105,56 +127,84 @@ def _split(sorted_runs: DataFrame) -> DataFrame:
             look = new_e & ((firsts[group] > 1) | (at & 1 == 1))
             alone = np.flatnonzero(new_e & ~look & (group == group[-1]))
             if len(alone):
-                waiting = (doc[alone[-1]], at[alone[-1]], k[alone[-1]])
+                waiting = (doc[alone[-1]], at[alone[-1]], k[alone[-1]], rank[alone[-1]])
             gone = ~new_e & ~itself
-            held = np.array(out, np.int64).reshape(-1, 3)
-            docs, ats, ks = (np.concatenate([held[:, i], x[look], x[gone]]) for i, x in enumerate((doc, at, k)))
-            if len(docs):
-                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(ats), pa.array(ks, mask=np.arange(len(ks)) >= len(out) + look.sum())], schema.names)
+            held = np.array(out, np.int64).reshape(-1, 4)
+            columns = [np.concatenate([held[:, i], x[look], x[gone]]) for i, x in enumerate((doc, at, k, rank))]
+            if len(columns[0]):
+                over = np.arange(len(columns[0])) >= len(out) + look.sum()
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], mask=over), pa.array(columns[3], mask=over)], schema.names)
             last = (k[-1], e[-1], doc[-1], at[-1])
 
     return sorted_runs.mapInArrow(run, schema)
 
 
-def _half_ranks(own: DataFrame, firsts: DataFrame, length: int, seed: int) -> DataFrame:
-    """doc_id, look: array of (k, start, n), the strings still in question after the offset has grown by half of what
-    is left. Each string has that much to the left or to the right of its seed; (seed rank, rank of that side) must
-    occur twice. Runs with several seeds register all of them and stay whole."""
+def _reranked(sorted_pairs: DataFrame, keys: int) -> DataFrame:
+    """Of rows sorted by their first `keys` columns (the pair): those whose pair occurs twice, with the pair's number in
+    that order as `rank` in the place of the pair."""
+    rest = sorted_pairs.schema.fields[keys:]
+    schema = T.StructType([T.StructField("rank", T.LongType()), *rest])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        base, number, held, last = TaskContext.get().partitionId() << 40, 0, None, None
+        emit = lambda cols, ranks: pa.RecordBatch.from_arrays([pa.array(ranks), *cols], schema.names)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pair = np.stack([batch.column(i).to_numpy() for i in range(keys)], 1)
+            same = np.concatenate([[last is not None and bool((pair[0] == last).all())], (pair[1:] == pair[:-1]).all(1)])
+            rank = base + number + np.cumsum(~same)
+            number += int((~same).sum())
+            if same[0] and held is not None:  # the last batch's last row has met its equal
+                yield emit(held.columns, np.array([rank[0]]))
+            twice = same | np.concatenate([same[1:], [False]])
+            if twice.any():
+                use = np.flatnonzero(twice)
+                yield emit([c.take(pa.array(use)) for c in batch.columns[keys:]], rank[use])
+            held = None if twice[-1] else pa.RecordBatch.from_arrays([c.slice(batch.num_rows - 1, 1) for c in batch.columns[keys:]], schema.names[1:])
+            last = pair[-1]
+
+    return sorted_pairs.mapInArrow(run, schema)
+
+
+def _doubled(own: DataFrame, firsts: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc_id, look: array of (rank, side, place, start, n): strings in question whose 66 bytes, seed and those beside
+    it, occur twice, with the rank of these 66 bytes and the place of the seed."""
     half, w = (length - seed) // 2, length - seed + 1
-    names = ("doc_id", "k", "side", "rank", "start", "n", "stays")
+    names = ("below", "side", "name", "doc_id", "place", "start", "n")
     schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
 
-    def ranks():
+    def pairs():
         def step(batch):
             out = []
             for doc, text, look in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 prefix, size = Prefix(np.frombuffer(text, np.uint8)), len(text)
                 h = signed(np.maximum(prefix.fixed(seed), np.uint64(1)))
-                at, k = look.values.field("at").to_numpy(), look.values.field("k").to_numpy()
-                first, n, tie = at >> 8, (at & 0xFF) >> 1, at & 1 == 1
+                at, k, rank = (look.values.field(c).to_numpy() for c in ("at", "k", "rank"))
+                first, n = at >> 8, (at & 0xFF) >> 1
                 span = n + w - 1
                 run = np.repeat(np.arange(len(at)), span)
                 place = np.repeat(first - (np.cumsum(span) - span), span) + np.arange(span.sum())
                 hit = h[place] == k[run]
                 run, place = run[hit], place[hit]
-                a, b, many = first[run], (first + n)[run], tie[run]
-                turn = np.clip(place - half + 1, a, b)  # strings before it have half to the left of the seed
-                for side, begin, end, ok, x, y in ((0, a, turn, place >= half, place - half, place + seed), (1, turn, b, place + seed + half <= size, place, place + seed + half)):
-                    use = ok & (many | (end > begin))
-                    r = run[use]
-                    out.append((k[r], np.full(len(r), side), signed(prefix.hash(x[use], y[use])), begin[use], np.where(many, 0, end - begin)[use], np.zeros(len(r), np.int64), np.full(len(r), doc)))
-                out.append((k[tie], np.full(tie.sum(), 2), first[tie], first[tie], n[tie], np.ones(tie.sum(), np.int64), np.full(tie.sum(), doc)))
-            *columns, docs = (pa.array(np.concatenate(x)) for x in zip(*out, strict=True))
-            return [docs, *columns]
+                # a string belongs to the first seed in it
+                before = np.concatenate([[-1], np.where(run[1:] == run[:-1], place[:-1], -1)])
+                low = np.maximum(np.maximum(first[run], before + 1), place - w + 1)
+                high = np.minimum(first[run] + n[run], place + 1)
+                turn = np.clip(place - half + 1, low, np.maximum(low, high))  # strings before it have half to the left
+                for side, begin, end, x, y in ((0, low, turn, place - half, place + seed), (1, turn, high, place, place + seed + half)):
+                    use = (end > begin) & (x >= 0) & (y <= size)
+                    out.append((rank[run[use]], np.full(use.sum(), side), signed(prefix.hash(x[use], y[use])), np.full(use.sum(), doc), place[use], begin[use], (end - begin)[use]))
+            return [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
 
         return step
 
-    looked = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("at", "k")).alias("look"))
-    ranked = map_batches(own.join(looked, "doc_id").select("doc_id", "text", "look"), ranks, schema, limit=STEP)
-    near = W.partitionBy("k", "side", "rank").orderBy("doc_id", "start")
-    twice = F.lag("doc_id").over(near).isNotNull() | F.lead("doc_id").over(near).isNotNull()
-    left = ranked.withColumn("twice", twice).where("n > 0 and (twice or stays = 1)")
-    return left.groupBy("doc_id").agg(F.collect_set(F.struct("k", "start", "n")).alias("look"))
+    looked = firsts.groupBy("doc_id").agg(F.collect_set(F.struct("at", "k", "rank")).alias("look"))
+    paired = map_batches(own.join(looked, "doc_id").select("doc_id", "text", "look"), pairs, schema, limit=STEP)
+    ranked = _reranked(paired.repartition("below", "side", "name").sortWithinPartitions("below", "side", "name"), 3)
+    return ranked.groupBy("doc_id").agg(F.collect_set(F.struct("rank", "place", "start", "n")).alias("look"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
@@ -168,33 +218,41 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
             if found is None:
                 return None
             doc, start, count, k, e, many = found
-            ids = batch.column(0).to_numpy()[doc].astype(np.int64)
-            return [pa.array(signed(k)), pa.array(signed(e)), pa.array(ids), pa.array((start << 8) | (count << 1) | many)]
+            ids, k, e = batch.column(0).to_numpy()[doc].astype(np.int64), signed(k), signed(e)
+            first, again = _once(ids, start, count, k, e)
+            order = np.concatenate([first, again])
+            return [pa.array(k[order], mask=np.arange(len(order)) >= len(first)), pa.array(e[order]), pa.array(ids[order]), pa.array(((start << 8) | (count << 1) | many)[order])]
 
         return step
 
     own = texts(docs).where("doc_id is not null")
-    filed = map_batches(own, make, schema, limit=STEP)
-    split = cut(_split(filed.repartition("k").sortWithinPartitions("k", "e", "doc_id", "at")))
+    filed = map_batches(own, make, schema, limit=STEP).repartition(F.coalesce("k", F.xxhash64("doc_id", "at")))
+    split = cut(_split(filed.sortWithinPartitions("k", "e", "doc_id", "at")))
     start, count = F.shiftright("at", 8), F.shiftright(F.col("at").bitwiseAND(0xFF), 1)
-    closer = _half_ranks(own, split.where("k is not null"), length, seed)
-    one = T.StructType([T.StructField(c, T.LongType()) for c in ("k", "h", "doc_id", "start")])
+    closer = _doubled(own, split.where("k is not null"), length, seed)
+    one = T.StructType([T.StructField(c, T.LongType()) for c in ("below", "name", "doc_id", "start")])
 
     def strings():
+        half, turn = (length - seed) // 2, np.uint64(0x9E3779B97F4A7C15)
+
         def step(batch):
             out = []
             for doc, text, look in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                h = Prefix(np.frombuffer(text, np.uint8)).fixed(length)
-                k, first, n = (look.values.field(c).to_numpy() for c in ("k", "start", "n"))
+                prefix = Prefix(np.frombuffer(text, np.uint8))
+                rank, place, first, n = (look.values.field(c).to_numpy() for c in ("rank", "place", "start", "n"))
                 pos = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                out.append((np.repeat(k, n), signed(h[pos]), np.full(len(pos), doc, np.int64), pos))
+                place = np.repeat(place, n)
+                left = pos <= place - half
+                x, y = np.where(left, place - half, place), np.where(left, place + seed, place + seed + half)
+                name = prefix.hash(pos, x) ^ mix(prefix.hash(y, pos + length) + (place - pos).astype(np.uint64) * turn)
+                out.append((np.repeat(rank, n), signed(name), np.full(len(pos), doc, np.int64), pos))
             return [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
 
         return step
 
-    ranked = map_batches(own.join(closer, "doc_id").select("doc_id", "text", "look"), strings, one, limit=STEP)
+    paired = map_batches(own.join(closer, "doc_id").select("doc_id", "text", "look"), strings, one, limit=STEP)
     # rank, not row_number: a doc_id in several rows gives the same (doc_id, start) again, which is no earlier copy
-    again = ranked.withColumn("n", F.rank().over(W.partitionBy("k", "h").orderBy("doc_id", "start"))).where("n > 1").select("doc_id", "start", F.lit(1).cast("long").alias("starts"))
+    again = paired.withColumn("n", F.rank().over(W.partitionBy("below", "name").orderBy("doc_id", "start"))).where("n > 1").select("doc_id", "start", F.lit(1).cast("long").alias("starts"))
     whole = split.where("k is null").select("doc_id", start.alias("start"), count.alias("starts"))
     return whole.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
 
@@ -220,7 +278,8 @@ def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs.
 
     Documents come in the order of their integer doc_id, which stands for one text: rows repeated as they are count as
-    one occurrence and each gets the result. Null texts are empty; texts under `length` bytes lose nothing."""
+    one occurrence and each gets the result. Null texts are empty; texts under `length` bytes lose nothing; rows without
+    a doc_id keep their text and count for no other; an empty table gives no rows; other columns aren't read."""
     schema = T.StructType([T.StructField("_id", T.LongType()), T.StructField("gone", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sha", T.StringType())])
 
     def make():

@@ -79,6 +79,29 @@ def test_suffixes_of_repeated_rows(spark):
     assert (0, a) in kept and len(kept) == len(texts)
 
 
+def test_suffixes_in_small_batches_and_periodic_texts(spark, monkeypatch):
+    """Groups that cross Arrow batches and steps; texts in which a seed comes back; partial overlaps at every offset."""
+    rng = random.Random(22)
+    base = words(rng, 90, 10**6)
+    texts = [base[i : i + rng.randrange(100, 400)] for i in range(0, 300, 7)] + ["ab" * 200, "c" * 150 + "ab" * 90, "xyz" * 70 + base[:120] + "xyz" * 70, base[50:149], base[50:150], base[:40] * 12, base[3:40] * 9]
+    texts += [f"{base[:100]}{i}{base[100:260]}" for i in range(80)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    monkeypatch.setattr(suffixes, "STEP", 900)
+    try:
+        rows = suffixes.removed(make(spark, texts).withColumn("k", F.lit(1)).withColumn("spans", F.lit(1)).withColumn("rank", F.lit(1))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == brute_suffix(texts)
+
+
+def test_suffixes_of_texts_beyond_one_step(spark):
+    rng = random.Random(23)
+    long = words(rng, 170_000, 10**6)
+    assert len(long) > suffixes.STEP
+    rows = suffixes.removed(make(spark, [long, long[700_000:700_400], long[:90]])).collect()
+    assert [r.n_removed for r in sorted(rows, key=lambda r: r.doc_id)] == [0, 400, 0]
+
+
 def brute_fp(t):
     low = "".join(c.lower() if c.isascii() else c for c in (t or ""))
     w = re.findall(r"[^\x20\x09-\x0D]+", low)
