@@ -1,9 +1,11 @@
-"""Text expressions; JVM-side, no Python in the row path. White space is ASCII white space and U+00A0."""
+"""Text expressions; JVM-side, no Python in the row path (but for the compatibility form). White space is ASCII white space and U+00A0."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SPACE = r"[\s ]+"
 
@@ -84,3 +86,46 @@ def repair_hyphens(c: Column) -> Column:
     t = F.regexp_replace(c, rf"(?<![\p{{L}}\d_])({letter}{{2,}})­[\s ]+(\p{{Ll}}{letter}+)(?![\p{{L}}\d_])", "$1$2")
     t = F.regexp_replace(t, rf"(?<![\p{{L}}\d_])({letter}{{2,}})­[\s ]+({letter}{{2,}})(?![\p{{L}}\d_])", "$1 $2")
     return clean_line(F.regexp_replace(t, rf"(?<![\p{{L}}\d_])({letter}{{3,}})-[\s ]+(\p{{Ll}}{letter}+)(?![\p{{L}}\d_])", "$1-$2"))
+
+
+#: What a caption's number may look like, and what stands between it and the text.
+FIGURE_LABEL = r"^(?i)(?:fig(?:ure)?s?\.?)\s*([0-9]+[a-z]?)\b\s*(.*)$"
+TABLE_LABEL = r"^(?i)table\s*([0-9]+[a-z]?)\b\s*(.*)$"
+
+
+def canonical_caption(c: Column, kind: Column) -> Column:
+    """`Fig. 3 | text` or `Table 3 | text`, without what parts label and text; other texts with single blanks; null if
+    empty. kind: figure or table."""
+    raw = F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))
+
+    def labelled(pattern: str, name: str) -> Column:
+        rest = F.regexp_replace(F.regexp_replace(F.regexp_extract(raw, pattern, 2), r"^[|:\-–—.;,\s]+", ""), r"\s*\|\s*\|+\s*", " | ")
+        rest = F.regexp_replace(rest, r"^[ |]+|[ |]+$", "")
+        return F.when(raw.rlike(pattern), F.concat(F.lit(name), F.regexp_extract(raw, pattern, 1), F.when(rest != "", F.concat(F.lit(" | "), rest)).otherwise("")))
+
+    return F.nullif(F.coalesce(F.when(kind == "figure", labelled(FIGURE_LABEL, "Fig. ")), F.when(kind == "table", labelled(TABLE_LABEL, "Table ")), raw), F.lit(""))
+
+
+def json_value(c: Column) -> Column:
+    """The JSON text inside a code fence or after prose, null where that doesn't parse."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    t = F.when(t.startswith("```"), F.regexp_replace(F.regexp_replace(t, r"^```(?:json)?\s*", ""), r"\s*```$", "")).otherwise(t)
+    at = F.regexp_instr(t, F.lit(r"[\{\[]"))
+    t = F.when(at > 0, F.substr(t, at)).otherwise(t)
+    return F.when(F.try_parse_json(t).isNotNull(), t)
+
+
+def iso_time(c: Column) -> Column:
+    """A timestamp as ISO 8601 in UTC, to the second."""
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+@F.pandas_udf(StringType())
+def compatible(c: pd.Series) -> pd.Series:
+    """Unicode's compatibility form (NFKC), which also takes ligatures apart; SQL functions have no counterpart."""
+    return c.str.normalize("NFKC")
+
+
+def heading_key(c: Column) -> Column:
+    """What headings are compared by: compatibility form, single blanks, lower case."""
+    return F.lower(clean_line(compatible(F.coalesce(c, F.lit("")))))

@@ -42,15 +42,17 @@ def provenance(claims: DataFrame, anchored: DataFrame) -> DataFrame:
     return _gate(d, "provenance_coverage", value, (value >= 0.95) & (F.col("bad") == 0))
 
 
-def reading_order(paragraphs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs (doc_id, left_id, right_id, left_first): share of known pairs that stand the other way round."""
+def reading_order(paragraphs: DataFrame, pairs: DataFrame, columns: DataFrame) -> DataFrame:
+    """pairs (doc_id, left_id, right_id, left_first): share of known pairs that stand the other way round. columns
+    (doc_id, page, interleaved): the pages of several columns, and whether their columns are mixed up."""
     pos = paragraphs.select("doc_id", F.col("para_id"), F.col("ord").alias("pos"))
     left = pairs.join(pos.withColumnsRenamed({"para_id": "left_id", "pos": "lp"}), ["doc_id", "left_id"])
     both = left.join(pos.withColumnsRenamed({"para_id": "right_id", "pos": "rp"}), ["doc_id", "right_id"])
     wrong = F.when(F.col("left_first"), F.col("lp") > F.col("rp")).otherwise(F.col("lp") < F.col("rp"))
     d = both.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(wrong).alias("k"))
-    value = _ratio(F.col("k"), F.col("n"))
-    return _gate(d, "paragraph_inversion_rate", value, value <= 0.02)
+    mixed = columns.groupBy("doc_id").agg(F.count("*").alias("pages"), F.count_if("interleaved").alias("mixed"))
+    value, interleave = _ratio(F.col("k"), F.col("n")), _ratio(F.coalesce("mixed", F.lit(0)), F.col("pages"))
+    return _gate(d.join(mixed, "doc_id", "left"), "paragraph_inversion_rate", value, (value <= 0.02) & (interleave <= 0.01))
 
 
 def citation_coverage(truth: DataFrame, mapped: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assets, citations, gates, layout, paragraphs, reading, render, telemetry
 from ..sources import html
-from . import structure  # noqa: F401  registers its queries
+from . import lineage, structure  # noqa: F401  register their queries
 from .base import ORACLE_SQL, QUERIES, query
 from .derive import LINES_SQL, derived, lines
 
@@ -308,18 +308,18 @@ def anchored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _GATES = f"""{_ANCHORED}, {_EXPAND}, {_MAPPED}, {_MERGE},
 g1 AS (SELECT doc_id, round(avg((reason = 'ok')::INT), 6) AS value, count(*) FILTER (reason <> 'ok' AND (category IN ('result', 'statistics', 'comparison', 'limitation') OR regexp_matches(lower(statement), '[0-9]|\\b(better|worse|superior|inferior|more effective|less effective|causes|leads to|results in|associated with|should|must|recommended|guideline)\\b'))) AS bad FROM af GROUP BY doc_id),
-g2 AS (SELECT a.doc_id, round(avg((CASE WHEN a.doc_id % 50 = 0 THEN a.ord < b.ord ELSE a.ord > b.ord END)::INT), 6) AS value FROM paragraphs a JOIN paragraphs b ON a.doc_id = b.doc_id AND b.ord = a.ord + 1 GROUP BY a.doc_id),
-mg AS (SELECT doc_id, anchor_id, bool_or(ref_key IS NOT NULL) AS k FROM mp GROUP BY ALL),
-tr AS (SELECT doc_id, anchor_id, min(ref_key) AS expected FROM mp WHERE ref_key IS NOT NULL GROUP BY ALL),
-g3 AS (SELECT t.doc_id, round(avg(coalesce(mg.k, false)::INT), 6) AS value, coalesce(bool_or(regexp_matches(expected, '^(doi|pmid):')), false) AS known FROM (SELECT doc_id, anchor_id FROM anchors WHERE {_MARKER}) t LEFT JOIN mg ON t.doc_id = mg.doc_id AND t.anchor_id = mg.anchor_id LEFT JOIN tr ON t.doc_id = tr.doc_id AND t.anchor_id = tr.anchor_id GROUP BY t.doc_id),
+g2 AS (SELECT * FROM (SELECT a.doc_id, round(avg((CASE WHEN a.doc_id % 50 = 0 THEN a.ord < b.ord ELSE a.ord > b.ord END)::INT), 6) AS value FROM paragraphs a JOIN paragraphs b ON a.doc_id = b.doc_id AND b.ord = a.ord + 1 GROUP BY a.doc_id) LEFT JOIN (SELECT doc_id, count(DISTINCT page) FILTER (doc_id % 37 = page) / count(DISTINCT page) AS mixed FROM paragraphs WHERE page % 2 = 1 GROUP BY doc_id) USING (doc_id)),
+mg AS (SELECT doc_id, anchor_id, list(ref_key) FILTER (ref_key IS NOT NULL) AS keys FROM mp GROUP BY ALL),
+tr AS (SELECT a.doc_id, a.anchor_id, CASE WHEN a.doc_id % 53 = 0 THEN 'doi:10.1000/none' ELSE coalesce(fr.ref_key, 'bib:none') END AS expected FROM (SELECT *, regexp_extract(anchor_text, '[0-9]+')::INT AS m FROM anchors WHERE {_MARKER}) a LEFT JOIN fr ON a.doc_id = fr.doc_id AND fr.marker = a.m),
+g3 AS (SELECT tr.doc_id, round(avg((coalesce(len(keys), 0) > 0)::INT), 6) AS value, coalesce(avg(coalesce(list_contains(keys, expected), false)::INT) FILTER (regexp_matches(expected, '^(doi|pmid):')), 0) AS precision FROM tr LEFT JOIN mg ON tr.doc_id = mg.doc_id AND tr.anchor_id = mg.anchor_id GROUP BY tr.doc_id),
 g4 AS (SELECT doc_id, round(avg((coalesce(caption_id, '') = 'para_' || doc_id || '_1')::INT), 6) AS value, round(count(caption_id) / count(*), 6) AS kept FROM assets WHERE asset_type = 'figure' GROUP BY doc_id),
 g5 AS (SELECT doc_id, count(*) FILTER (ends_with(quote, ' ...') AND NOT quote_truncated)::DOUBLE AS value FROM facts GROUP BY doc_id),
 rw AS (SELECT doc_id, count(*) FILTER (kind = 'api') AS a, count(*) FILTER (kind = 'pdf') AS p, count(*) FILTER (kind = 'api' AND (doi IS NOT NULL OR pmid IS NOT NULL)) AS ai, count(*) FILTER (kind = 'pdf' AND (doi IS NOT NULL OR pmid IS NOT NULL)) AS pi FROM refs GROUP BY doc_id),
 mm AS (SELECT doc_id, count(*) AS m, count(*) FILTER (doi IS NOT NULL OR pmid IS NOT NULL) AS mi FROM mr GROUP BY doc_id),
 g6 AS (SELECT rw.doc_id, round(mi / m, 6) AS value, CASE WHEN least(ai, pi) > 0 THEN least(1.0, greatest(0, ai + pi - mi) / least(ai, pi)) WHEN least(a, p) > 0 THEN least(1.0, greatest(0, a + p - m) / least(a, p)) ELSE greatest(0.0, 1 - m / (a + p)) END AS rate FROM rw JOIN mm ON rw.doc_id = mm.doc_id),
 gs AS (SELECT doc_id, 'provenance_coverage' AS gate, value, CASE WHEN value >= 0.95 AND bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM g1
-UNION ALL SELECT doc_id, 'paragraph_inversion_rate', value, CASE WHEN value <= 0.02 THEN 'PASS' ELSE 'FAIL' END FROM g2
-UNION ALL SELECT doc_id, 'citation_mapping_coverage', value, CASE WHEN value >= 0.98 AND known THEN 'PASS' ELSE 'FAIL' END FROM g3
+UNION ALL SELECT doc_id, 'paragraph_inversion_rate', value, CASE WHEN value <= 0.02 AND coalesce(mixed, 0) <= 0.01 THEN 'PASS' ELSE 'FAIL' END FROM g2
+UNION ALL SELECT doc_id, 'citation_mapping_coverage', value, CASE WHEN value >= 0.98 AND precision >= 0.99 THEN 'PASS' ELSE 'FAIL' END FROM g3
 UNION ALL SELECT doc_id, 'figure_caption_precision', value, CASE WHEN value >= 0.9 AND kept >= 0.95 THEN 'PASS' ELSE 'DEGRADED' END FROM g4
 UNION ALL SELECT doc_id, 'silent_truncation_count', value, CASE WHEN value = 0 THEN 'PASS' ELSE 'DEGRADED' END FROM g5
 UNION ALL SELECT doc_id, 'reference_pipeline_quality', value, CASE WHEN value >= 0.5 AND rate >= 0.05 THEN 'PASS' ELSE 'DEGRADED' END FROM g6)"""
@@ -333,10 +333,13 @@ def _gate_rows(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     nxt = p.select("doc_id", F.col("para_id").alias("right_id"), (F.col("ord") - 1).alias("ord"))
     pairs = p.join(nxt, ["doc_id", "ord"]).select("doc_id", F.col("para_id").alias("left_id"), "right_id", (F.col("doc_id") % 50 != 0).alias("left_first"))
     mapped = citations.map_markers(anchors, refs)
-    first = mapped.where("ref_key is not null").groupBy("doc_id", "anchor_id").agg(F.min("ref_key").alias("expected"))
-    truth = anchors.where(F.lower(F.trim("anchor_text")).rlike(citations.MARKER)).join(first, ["doc_id", "anchor_id"], "left").select("doc_id", "anchor_id", F.coalesce("expected", F.lit("bib:none")).alias("expected"))
+    # the true key comes from the first number of the marker and the references, not from the mapping that is judged
+    first = refs.groupBy("doc_id", F.col("marker").alias("m")).agg(F.min_by("ref_key", "ord").alias("expected"))
+    marked = anchors.where(F.lower(F.trim("anchor_text")).rlike(citations.MARKER)).select("doc_id", "anchor_id", F.regexp_extract("anchor_text", "[0-9]+", 0).cast("int").alias("m"))
+    truth = marked.join(first, ["doc_id", "m"], "left").select("doc_id", "anchor_id", F.when(F.col("doc_id") % 53 == 0, "doi:10.1000/none").otherwise(F.coalesce("expected", F.lit("bib:none"))).alias("expected"))
+    columns = p.where("page % 2 = 1").select("doc_id", "page", (F.col("doc_id") % 37 == F.col("page")).alias("interleaved")).distinct()
     captions = a.select("doc_id", "asset_id", F.concat(F.lit("para_"), F.col("doc_id").cast("string"), F.lit("_1")).alias("expected_caption")).distinct()
-    return [gates.provenance(claims, anchored), gates.reading_order(p, pairs), gates.citation_coverage(truth, mapped), gates.figure_captions(a, captions), gates.silent_truncation(f), gates.reference_quality(refs, citations.merge_references(derived(spark, sf_dir, "refs")))]
+    return [gates.provenance(claims, anchored), gates.reading_order(p, pairs, columns), gates.citation_coverage(truth, mapped), gates.figure_captions(a, captions), gates.silent_truncation(f), gates.reference_quality(refs, citations.merge_references(derived(spark, sf_dir, "refs")))]
 
 
 @query(f"WITH {_GATES} SELECT doc_id, gate, value, status FROM gs")

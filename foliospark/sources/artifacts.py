@@ -19,8 +19,10 @@ def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 
 def read_documents(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
-    """One JSON document for each file, with the file's name; where two files hold one page the later name wins."""
-    return spark.read.schema(schema).option("multiLine", True).json(glob).withColumn("file", F.input_file_name())
+    """One JSON document for each file, with the file's name; where two files hold one page the later name wins (schemas
+    without a page keep all)."""
+    rows = spark.read.schema(schema).option("multiLine", True).json(glob).withColumn("file", F.input_file_name())
+    return last_wins(rows, *[c for c in ("doc_id", "page") if c in schema.names], order="file") if "page" in schema.names else rows
 
 
 def last_wins(rows: DataFrame, *keys: str, order: str) -> DataFrame:
