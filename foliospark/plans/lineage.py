@@ -210,3 +210,25 @@ def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS at FROM events")
 def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.iso_time(F.col("ts")).alias("at"))
+
+
+@query("SELECT doc_id, page, trim(text) AS text, x0, y0, font_size::DOUBLE AS font_size, is_bold, CASE WHEN is_bold THEN 'Helvetica-Bold' ELSE 'Helvetica' END AS font FROM blocks WHERE trim(text) <> ''")
+def pdf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as a PDF file and read again."""
+    from ..sources import pdf
+
+    line = F.struct("page", "ord", "text", "x0", "y0", F.col("font_size").cast("double").alias("font_size"), "is_bold")
+    docs = derived(spark, sf_dir, "blocks").groupBy("doc_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+
+    def written(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for lines in batch.column(1).to_pylist():
+                pages = [[x for x in lines if x["page"] == n] for n in range(1, 1 + max(x["page"] for x in lines))]
+                out.append(pdf.write(pages))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(out, pa.binary())], ["path", "content"])
+
+    files = docs.mapInArrow(written, "path string, content binary")
+    return pdf.blocks(files).select(F.col("path").cast("long").alias("doc_id"), "page", "text", "x0", "y0", "font_size", "is_bold", "font")
