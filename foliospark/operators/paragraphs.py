@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_line, template, words
-from .layout import page_bounds
 
 #: What marks an affiliation line.
 AFFILIATION = ("department", "university", "hospital", "institute", "medical center", "faculty", "school of", "address", "correspondence")
@@ -21,13 +20,15 @@ def template_documents(lines: DataFrame) -> DataFrame:
 
 
 def template_hits(blocks: DataFrame) -> DataFrame:
-    """Each block with its template's count, pages, hits near the top or bottom and near a side of its document."""
-    b = blocks.join(page_bounds(blocks), ["doc_id", "page"]).withColumn("template", template(F.col("text"))).where("template <> ''")
-    y = ((F.col("y0") + F.col("y1")) / 2 - F.col("by0")) / F.greatest(F.lit(1e-6), F.col("by1") - F.col("by0"))
-    x = ((F.col("x0") + F.col("x1")) / 2 - F.col("bx0")) / F.greatest(F.lit(1e-6), F.col("bx1") - F.col("bx0"))
-    hit = lambda t: F.sum(F.when(t, 1).otherwise(0))
-    t = b.groupBy("doc_id", "template").agg(F.count("*").alias("n"), F.countDistinct("page").alias("n_pages"), hit((y <= 0.12) | (y >= 0.88)).alias("edge_hits"), hit((x <= 0.05) | (x >= 0.95) | (F.col("x0") <= 12)).alias("side_hits"))
-    return b.select("doc_id", "block_id", "template").join(t, ["doc_id", "template"])
+    """Each block with its template's count, pages, hits near the top or bottom and near a side of its document. One
+    exchange by document serves the pages' bounds and the templates' counts."""
+    page, own = W.partitionBy("doc_id", "page"), W.partitionBy("doc_id", "template")
+    low, left, high, right = F.min("y0").over(page), F.min("x0").over(page), F.max("y1").over(page), F.max("x1").over(page)
+    y = ((F.col("y0") + F.col("y1")) / 2 - low) / F.greatest(F.lit(1e-6), high - low)
+    x = ((F.col("x0") + F.col("x1")) / 2 - left) / F.greatest(F.lit(1e-6), right - left)
+    b = blocks.select("doc_id", "page", "block_id", template(F.col("text")).alias("template"), "x0", "y0", "x1", "y1").repartition("doc_id")
+    b = b.select("doc_id", "block_id", "page", "template", ((y <= 0.12) | (y >= 0.88)).cast("int").alias("_edge"), ((x <= 0.05) | (x >= 0.95) | (F.col("x0") <= 12)).cast("int").alias("_side")).where("template <> ''")
+    return b.select("doc_id", "block_id", "template", F.count("*").over(own).alias("n"), F.size(F.collect_set("page").over(own)).cast("long").alias("n_pages"), F.sum("_edge").over(own).alias("edge_hits"), F.sum("_side").over(own).alias("side_hits"))
 
 
 def suppression_rule(c: Column) -> Column:
@@ -159,12 +160,11 @@ def repair_boundaries(paragraphs: DataFrame) -> DataFrame:
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in done()], names)
 
-    t = clean_line(F.col("text"))
-    placed = paragraphs.join(page_bounds(paragraphs), ["doc_id", "page"])
-    x = ((F.col("x0") + F.col("x1")) / 2 - F.col("bx0")) / F.greatest(F.lit(1e-6), F.col("bx1") - F.col("bx0"))
-    y = ((F.col("y0") + F.col("y1")) / 2 - F.col("by0")) / F.greatest(F.lit(1e-6), F.col("by1") - F.col("by0"))
-    rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ord").cast("long").alias("ord"), t.alias("text"), F.col("page").cast("long").alias("page"), x.alias("x"), y.alias("y"), is_noise(F.col("text")).alias("noise")).where("text <> ''")
-    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "ord").mapInArrow(fold, "doc_id long, first_ord long, n long, text string")
+    t, page = clean_line(F.col("text")), W.partitionBy("doc_id", "page")
+    place = lambda a, b: ((F.col(a) + F.col(b)) / 2 - F.min(a).over(page)) / F.greatest(F.lit(1e-6), F.max(b).over(page) - F.min(a).over(page))
+    x, y = place("x0", "x1"), place("y0", "y1")
+    rows = paragraphs.select("doc_id", "ord", "page", "text", "x0", "y0", "x1", "y1").repartition("doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ord").cast("long").alias("ord"), t.alias("text"), F.col("page").cast("long").alias("page"), x.alias("x"), y.alias("y"), is_noise(F.col("text")).alias("noise")).where("text <> ''")
+    return rows.sortWithinPartitions("doc_id", "ord").mapInArrow(fold, "doc_id long, first_ord long, n long, text string")
 
 
 def word_statistics(lines: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import count_words, first_statement, has_digit, quote, starts_upper, words
+from ..functions.text import count_words, first_statement, has_digit, let, quote, starts_upper, words
 
 #: The first list with a hit names the category.
 CATEGORIES = (
@@ -38,8 +38,9 @@ def category(c: Column) -> Column:
     return out
 
 
-def is_noise_statement(c: Column) -> Column:
-    w, low = words(c), F.lower(c)
+def is_noise_statement(c: Column, w: Column | None = None) -> Column:
+    """w: the words of c, if they are known."""
+    w, low = words(c) if w is None else w, F.lower(c)
     n = F.size(w)
     commas = F.length(c) - F.length(F.replace(c, F.lit(","), F.lit("")))
     return any_of(low, ("department of", "orcid", "check for updates")) | (n < 5) | ((n <= 45) & (count_words(w, has_digit) >= 3) & (commas >= 2)) | ((n <= 50) & (count_words(w, starts_upper) > 0.6 * n) & (commas >= 2))
@@ -53,12 +54,16 @@ def is_strong_claim(statement: Column, kind: Column) -> Column:
 def fact_candidates(paragraphs: DataFrame, most: int = MAX_CANDIDATES) -> DataFrame:
     """The best statements of each document: narrative ones first, a quarter as many others where there are
     eight narrative ones or more. Ties keep the order of paragraphs."""
-    s = first_statement(F.col("text"))
-    c = paragraphs.withColumn("statement", s).where((F.col("statement") != "") & ~is_noise_statement(F.col("statement")))
-    low = F.lower("statement")
-    score = F.least(F.lit(40), F.size(words(F.col("statement")))) + F.col("confidence") * 10 + F.when(F.col("role") == "Heading", -8).when(F.col("role") == "Body", 8).when(F.col("role").isin("FigureCaption", "TableCaption"), -10).otherwise(0) + F.when(F.col("statement").rlike("[0-9]"), 6).otherwise(0) + F.when(any_of(low, SIGNALS), 6).otherwise(0) + F.when(F.col("narrative"), 18).otherwise(-22)
-    text, cut = quote(F.col("statement"))
-    c = c.select("doc_id", "para_id", "page", "ord", "narrative", "statement", category(F.col("statement")).alias("category"), text.alias("quote"), cut.alias("quote_truncated"), F.round(score, 6).alias("score"))
+    def judged(statement: Column, w: Column) -> Column:
+        low = F.lower(statement)
+        score = F.least(F.lit(40), F.size(w)) + F.col("confidence") * 10 + F.when(F.col("role") == "Heading", -8).when(F.col("role") == "Body", 8).when(F.col("role").isin("FigureCaption", "TableCaption"), -10).otherwise(0) + F.when(statement.rlike("[0-9]"), 6).otherwise(0) + F.when(any_of(low, SIGNALS), 6).otherwise(0) + F.when(F.col("narrative"), 18).otherwise(-22)
+        text, cut = quote(statement)
+        good = (statement != "") & ~is_noise_statement(statement, w)
+        return F.when(good, F.struct(statement.alias("statement"), category(statement).alias("category"), text.alias("quote"), cut.alias("quote_truncated"), F.round(score, 6).alias("score")))
+
+    # the statement and its words are looked at by many rules and made once
+    found = let(first_statement(F.col("text")), lambda st: let(words(st), lambda w: judged(st, w)))
+    c = paragraphs.select("doc_id", "para_id", "page", "ord", "narrative", F.explode(F.array_compact(F.array(found))).alias("s")).select("doc_id", "para_id", "page", "ord", "narrative", "s.*")
     r = c.withColumn("r", F.row_number().over(W.partitionBy("doc_id", "narrative").orderBy(F.desc("score"), "ord")))
     n = F.least(F.lit(most), F.sum(F.col("narrative").cast("int")).over(W.partitionBy("doc_id")))
     room = F.lit(most) - F.col("n")

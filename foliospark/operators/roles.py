@@ -165,7 +165,8 @@ def clean_roles(roled: DataFrame, profile: DataFrame | None = None, repeated: Da
         .when(shown | (role == "Heading") | (candidate & (n <= 16) & (title >= 0.55) & open_end & (digits <= 2)), "section_heading")
         .when(entry, "reference_entry").when(often & meta.isin("journal_meta", "received"), "nuisance").otherwise(F.coalesce(meta, F.lit("body_text")))
     )
-    return b.select("doc_id", "block_id", clean.alias("clean_role"))
+    # the generator is a barrier: a filter on the role doesn't evaluate these rules a second time
+    return b.select("doc_id", "block_id", F.explode(F.array(clean)).alias("clean_role"))
 
 
 def is_reference_text(c: Column) -> Column:
