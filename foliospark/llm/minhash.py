@@ -39,7 +39,7 @@ CHUNK, WINDOW = 31, 21
 #: What counts as a repeated passage: neighbouring repeated paragraphs with so many words in all. A shorter one is a
 #: common line; min_run_words=0 reports these too. Chunks have no such least.
 MIN_RUN_WORDS = 20
-#: Members of a bucket that one task compares; larger buckets are dealt to blocks and every pair of blocks is compared.
+#: Members of a bucket that one task compares; larger buckets are thinned around pivots first.
 BLOCK = 2048
 #: Buckets of up to so many members are compared many at a time.
 SMALL = 16
@@ -250,12 +250,59 @@ def similar_in_groups(group: np.ndarray, sizes: np.ndarray, values: np.ndarray,
     return i[close], j[close]
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """band, i, j, fp, shingles: buckets of more than BLOCK members as pairs of blocks, each member in every pair of its
+    block."""
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = members.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long"))
+    both = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+    return both.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "shingles")
+
+
+def _around_pivots(rest: DataFrame, similarity: float) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Hot buckets (band, fp, shingles) without squares, as groups (band, i, j, fp, shingles) to compare and links (u, v)
+    found on the way. Jaccard distance is a metric: with r the distance of a link, members within r of a pivot are
+    linked to it and need no comparison with each other, and those beyond 2r from it can't be linked to them. So only the
+    members between r and 2r meet those within r, and the rest goes on to a new pivot. What pivots don't thin out by
+    a tenth is dealt to pairs of blocks."""
+    groups, links, turn = [], [], 0
+    while True:
+        turn += 1
+        hot = cut(rest.groupBy("band").agg(F.min("fp").alias("pivot"), F.count("*").alias("n")).where(F.col("n") > BLOCK))
+        mark = F.lit(turn).cast("long")
+        groups.append(rest.join(hot.select("band"), "band", "left_anti").select("band", mark.alias("i"), mark.alias("j"), "fp", "shingles"))
+        total = hot.agg(F.sum("n")).first()[0]
+        if not total:
+            return groups, links
+        rest = rest.join(hot.select("band"), "band", "left_semi")
+        pivots = rest.join(hot, "band").where("fp = pivot").select("band", "pivot", F.col("shingles").alias("p"))
+        both = F.size(F.array_intersect("shingles", "p"))
+        share = both / (F.size("shingles") + F.size("p") - both)
+        near = F.col("share") >= similarity - 1e-9
+        seen = cut(rest.join(pivots, "band").select("band", "fp", "shingles", "pivot", share.alias("share")).withColumn("near", near).withColumn("ring", ~near & (F.col("share") >= 2 * similarity - 1 - 1e-9)))
+        links.append(seen.where("near and fp <> pivot").select(F.col("fp").alias("u"), F.col("pivot").alias("v")))
+        sizes = seen.groupBy("band").agg(F.ceil(F.count_if("near") / BLOCK).cast("int").alias("a"), F.ceil(F.count_if("ring") / BLOCK).cast("int").alias("b")).where("b > 0")
+        own = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("long")
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+        for part, i, j in (("near", own("a"), every("b")), ("ring", every("a"), own("b"))):
+            met = seen.where(part).join(sizes, "band").select("band", "fp", "shingles", i.alias("i"), j.alias("j"))
+            groups.append(met.select("band", (F.lit(turn << 32) + F.col("i")).alias("i"), "j", "fp", "shingles"))
+        rest = seen.where("not near").select("band", "fp", "shingles")
+        if seen.where("near").count() < total / 10:
+            return [*groups, _dealt(rest)], links
+
+
 def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """u, v (fp): a spanning forest, for each bucket, of the pairs similar enough."""
-    hot = members.groupBy("band").count().where(F.col("count") > BLOCK).select("band", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(hot, "band", "left").withColumn("own", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    full = dealt.join(sets, "fp").select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "shingles")
+    """u, v (fp): a spanning forest, for each group of a bucket, of the pairs similar enough."""
+    hot = cut(members.groupBy("band").count().where(F.col("count") > BLOCK).select("band"))
+    zero = F.lit(0).cast("long")
+    full, links = members.join(sets, "fp").select("band", zero.alias("i"), zero.alias("j"), "fp", "shingles"), []
+    if not hot.isEmpty():
+        crowd = cut(members.join(hot, "band", "left_semi").join(sets, "fp").select("band", "fp", "shingles"))
+        groups, links = _around_pivots(crowd, similarity)
+        full = full.join(hot, "band", "left_anti")
+        for g in groups:
+            full = full.unionByName(g)
     spread = full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def compare(table_):
@@ -299,7 +346,10 @@ def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         if held is not None and held.num_rows and (out := compare(held)) is not None:
             yield out
 
-    return spread.mapInArrow(run, _longs("u", "v"))
+    out = spread.mapInArrow(run, _longs("u", "v"))
+    for more in links:
+        out = out.union(more)
+    return out
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run_words: int = MIN_RUN_WORDS) -> DataFrame:

@@ -246,6 +246,30 @@ def test_paragraphs_of_repeated_rows_and_long_texts(spark):
     assert len(long) > 2 * minhash.STEP
 
 
+def test_hot_groups_around_pivots(spark, monkeypatch):
+    """Crowds near one pivot, chains that lead away from it, and sets like no other: the components of all links."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(31)
+    sets = {}
+    for c in range(3):
+        s = [1000 * c + k for k in range(40)]
+        for step in range(30):  # each a little further from the first
+            sets[len(sets)] = sorted(s)
+            if step % 2:
+                s = [*s[2:], 1000 * c + 500 + 2 * step, 1000 * c + 501 + 2 * step]
+            else:
+                sets[len(sets)] = sorted([*s[:-1], 10**6 + len(sets)])
+    for _ in range(40):
+        sets[len(sets)] = sorted(rng.sample(range(10**7), 30))
+    ids = rng.sample(range(-1000, 1000), len(sets))
+    sets = dict(zip(ids, sets.values(), strict=True))
+    rows = spark.createDataFrame([(7, i, v) for i, v in sets.items()], "band long, fp long, shingles array<long>")
+    got = common.components(minhash._links(rows.select("band", "fp"), rows.select("fp", "shingles"), 0.8))
+    links = [(a, b) for a in sets for b in sets if a < b and 10 * len(set(sets[a]) & set(sets[b])) >= 8 * len(set(sets[a]) | set(sets[b]))]
+    want = components(sets, links)
+    assert {i: want[i] for i in sets} == {i: i for i in sets} | {r.node: r.component for r in got.collect()} and len(set(want.values())) < len(sets) / 2
+
+
 def test_small_groups_are_compared_like_large_ones():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 40, 30)) for _ in range(400)]
