@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_line, words
-from .roles import NUMBER, count_of, hits, lower_share
+from ..functions.text import clean_line, let, words
+from .roles import NUMBER, caption_kind, count_of, hits, is_compact_label, lower_share
 
 #: Words of table cells and of table heads; fields, signs of front matter, heads of comparison tables.
 DESCRIPTORS = ("high", "low", "poor", "limited", "excellent", "good", "mechanical", "biocompatibility", "conductivity", "surface area", "resistance", "stability")
@@ -135,3 +135,24 @@ def plausible_assets(assets: DataFrame, width: float = 595.0, height: float = 79
     w, h = F.greatest(F.lit(0.0), F.col("x1") - F.col("x0")), F.greatest(F.lit(0.0), F.col("y1") - F.col("y0"))
     area, y = w * h / (width * height), (F.col("y0") + F.col("y1")) / 2 / height
     return assets.where(F.when(F.col("caption_id").isNotNull(), (w >= 35) & (h >= 25) & (area >= 0.0006)).otherwise((w >= 70) & (h >= 55) & (area >= 0.004) & y.between(0.1, 0.92)))
+
+
+#: Words of figures' labels; abbreviations of statistics beside their numbers.
+CHART_TERMS = ("pathway", "pathways", "response", "signaling", "interaction", "contraction", "chemokine", "cytokine", "feature")
+STATISTIC = r"\b(or|hr|auc)\b"
+
+
+def is_chart_noise(c: Column) -> Column:
+    """Labels and numbers out of figures: compact labels, captions inside, p-value axes, bare numbers, single words,
+    statistics beside numbers, lists of chart terms, mostly numbers. Null and blank texts are none."""
+    def judged(t: Column, w: Column) -> Column:
+        low, n, open_end = F.lower(t), F.size(w), ~t.rlike(r"[.!?]\s*$")
+        numbers = count_of(t, r"\b\d+(?:\.\d+)?\b")
+        terms = sum((F.contains(low, F.lit(x)).cast("int") for x in CHART_TERMS), F.lit(0))
+        return (t != "") & (
+            F.coalesce(is_compact_label(t), F.lit(False)) | caption_kind(t).isNotNull() | low.rlike(r"-log10\s*\(p-?value\)") | ((numbers >= 2) & t.rlike(r"^[\d\s.+-]+$"))
+            | ((n <= 2) & open_end & ((numbers >= 1) | t.rlike(r"^[A-Za-z][A-Za-z0-9_-]{0,11}$"))) | ((n <= 10) & (numbers >= 1) & open_end & low.rlike(STATISTIC))
+            | ((n <= 24) & open_end & (terms >= 3)) | ((n <= 12) & open_end & (numbers >= F.greatest(F.lit(2), F.floor(n / 2))))
+        )
+
+    return let(clean_line(c), lambda t: let(F.array_remove(F.split(t, " "), ""), lambda w: judged(t, w)))

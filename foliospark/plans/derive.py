@@ -44,6 +44,7 @@ SELECT o_orderkey AS doc_id, CONCAT('anchor_', CAST(o_orderkey AS STRING)) AS an
   CASE WHEN o_custkey % 5 = 0 THEN CONCAT('[', CAST(o_custkey % 7 AS STRING), '-', CAST(o_custkey % 7 + o_orderkey % 40 AS STRING), ']')
     WHEN o_custkey % 5 = 1 THEN CONCAT('(', CAST(o_custkey % 9 AS STRING), ', ', CAST(o_orderkey % 9 AS STRING), ';0)')
     WHEN o_custkey % 5 = 2 THEN CONCAT('10.1000/', CAST(o_custkey AS STRING))
+    WHEN o_custkey % 5 = 3 AND o_orderkey % 4 = 0 THEN 'Widget results'
     WHEN o_custkey % 5 = 3 THEN CONCAT('study of ', LOWER(o_orderpriority), ' widget results')
     ELSE 'http://example.org/paper' END AS anchor_text,
   CASE WHEN o_orderkey % 3 = 0 THEN 'internal' WHEN o_orderkey % 3 = 1 THEN 'external' ELSE 'inline' END AS link_type, CAST(o_orderkey % 2 AS INT) AS source_rank

@@ -232,3 +232,20 @@ def pdf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = docs.mapInArrow(written, "path string, content binary")
     return pdf.blocks(files).select(F.col("path").cast("long").alias("doc_id"), "page", "text", "x0", "y0", "font_size", "is_bold", "font")
+
+
+_LABEL_WORDS = "regexp_extract_all(t, '[A-Za-z]+(?:[-''][A-Za-z]+)?|[0-9]+(?:\\.[0-9]+)?')"
+
+
+@query(f"""WITH a AS (SELECT doc_id, ord, {_LINE.replace('raw', "CASE ord % 5 WHEN 0 THEN text WHEN 1 THEN regexp_replace(text, '^((\\S+\\s+){4}).*$', '\\1') WHEN 2 THEN (ord * 3) || ' ' || (ord + 0.5) || ' -7' WHEN 3 THEN 'OR 1.' || ord || ' for this group' ELSE 'signaling pathway response of ' || doc_id END")} AS t FROM blocks),
+w AS (SELECT *, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w, {_LABEL_WORDS} AS l, len(regexp_extract_all(t, '\\b[0-9]+(?:\\.[0-9]+)?\\b')) AS nums, NOT regexp_matches(t, '[.!?]\\s*$') AS open_end FROM a),
+m AS (SELECT *, regexp_matches(lower(t), 'p-value|log10|log2|fold change') AS marked FROM w),
+k AS (SELECT *, length(t) BETWEEN 1 AND 72 AND len(l) BETWEEN 1 AND 9 AND (marked OR len([x FOR x IN l IF regexp_matches(x, '^[a-z]')]) <= greatest(1, len(l) // 3)) AND len([x FOR x IN l IF length(x) <= 4]) >= greatest(2, len(l) // 2) AND (marked OR len([x FOR x IN l IF length(x) >= 2 AND regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) >= 1) AS compact,
+  regexp_matches(t, '(?i)^(fig(?:ure)?|table)\\s*\\.?\\s*[0-9]+[a-z]?\\b') AND length(t) >= 8 AND len([x FOR x IN w IF regexp_matches(x, '\\p{{L}}')]) >= 3 AS caption FROM m)
+SELECT doc_id, ord, t <> '' AND (compact OR caption OR regexp_matches(lower(t), '-log10\\s*\\(p-?value\\)') OR (nums >= 2 AND regexp_matches(t, '^[0-9\\s.+-]+$')) OR (len(w) <= 2 AND open_end AND (nums >= 1 OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9_-]{{0,11}}$')))
+OR (len(w) <= 10 AND nums >= 1 AND open_end AND regexp_matches(lower(t), '\\b(or|hr|auc)\\b')) OR (len(w) <= 24 AND open_end AND len([x FOR x IN ['pathway', 'pathways', 'response', 'signaling', 'interaction', 'contraction', 'chemokine', 'cytokine', 'feature'] IF contains(lower(t), x)]) >= 3) OR (len(w) <= 12 AND open_end AND nums >= greatest(2, len(w) // 2))) AS is_noise FROM k""")
+def chart_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.tables import is_chart_noise
+
+    said = F.expr(r"""CASE ord % 5 WHEN 0 THEN text WHEN 1 THEN regexp_replace(text, '^((\\S+\\s+){4}).*$', '$1') WHEN 2 THEN concat(ord * 3, ' ', cast(ord + 0.5 as string), ' -7') WHEN 3 THEN concat('OR 1.', ord, ' for this group') ELSE concat('signaling pathway response of ', doc_id) END""")
+    return derived(spark, sf_dir, "blocks").select("doc_id", "ord", is_chart_noise(said).alias("is_noise"))

@@ -200,8 +200,9 @@ def marker_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH a AS (SELECT doc_id, anchor_id, unnest(list_distinct(list_filter(regexp_extract_all(lower(anchor_text), '[a-z0-9]{{4,}}'), lambda x: x NOT IN ('http', 'https', 'www', 'doi', 'pmid')))) AS token, len(list_distinct(list_filter(regexp_extract_all(lower(anchor_text), '[a-z0-9]{{4,}}'), lambda x: x NOT IN ('http', 'https', 'www', 'doi', 'pmid')))) AS n FROM anchors WHERE NOT {_MARKER}),
 r AS (SELECT doc_id, {_KEY} AS ref_key, ord, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{{4,}}'))) AS token FROM refs),
-h AS (SELECT a.doc_id, anchor_id, n, ref_key, ord, count(*) AS k FROM a JOIN r ON a.doc_id = r.doc_id AND a.token = r.token GROUP BY ALL HAVING count(*) / n >= 0.35)
-SELECT doc_id, anchor_id, ref_key, round(least(0.84, 0.55 + k / n * 0.35), 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, anchor_id ORDER BY k / n DESC, ord) AS rn FROM h) WHERE rn = 1""")
+h AS (SELECT a.doc_id, anchor_id, n, ref_key, ord, count(*) AS k FROM a JOIN r ON a.doc_id = r.doc_id AND a.token = r.token GROUP BY ALL HAVING count(*) / n >= 0.35),
+u AS (SELECT doc_id, anchor_id, ref_key, ord, k / n AS part, least(0.84, 0.55 + k / n * 0.35) AS score FROM h UNION ALL SELECT x.doc_id, x.anchor_id, {_KEY}, ord, 2, 0.88 FROM anchors x JOIN refs y ON x.doc_id = y.doc_id AND contains(lower(y.text), trim(lower(x.anchor_text))) WHERE length(trim(x.anchor_text)) >= 8 AND EXISTS (SELECT 1 FROM a WHERE a.doc_id = x.doc_id AND a.anchor_id = x.anchor_id))
+SELECT doc_id, anchor_id, ref_key, round(score, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, anchor_id ORDER BY part DESC, ord) AS rn FROM u) WHERE rn = 1""")
 def fuzzy_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.fuzzy_references(derived(spark, sf_dir, "anchors"), _keyed(spark, sf_dir))
 

@@ -58,3 +58,46 @@ def test_later_file_wins(spark, tmp_path):
         (tmp_path / name).write_text(f'{{"page": 1,\n "conf": {conf}}}')
     schema = spark.createDataFrame([], "page int, conf int").schema
     assert [r.conf for r in artifacts.read_documents(spark, str(tmp_path / "*.json"), schema).collect()] == [2]
+
+
+def test_external_sources(spark, tmp_path):
+    import http.server
+    import json
+    import sqlite3
+    import threading
+
+    from foliospark.sources import external
+
+    db = sqlite3.connect(tmp_path / "refs.db")
+    db.execute("CREATE TABLE refs (title TEXT, year INT, other BLOB)")
+    db.executemany("INSERT INTO refs VALUES (?, ?, x'00')", [(f"t{i}", i if i % 2 else None) for i in range(100)])
+    db.execute("CREATE TABLE none (title TEXT)")
+    db.commit()
+    db.close()
+    rows = external.read_sqlite(spark, str(tmp_path / "refs.db"), "refs", "year int, title string", partitions=3)
+    assert sorted((r.title, r.year) for r in rows.collect()) == sorted((f"t{i}", i if i % 2 else None) for i in range(100)) and rows.rdd.getNumPartitions() == 3
+    assert external.read_sqlite(spark, str(tmp_path / "refs.db"), "none", "title string").count() == 0
+
+    class Pages(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            n = int(self.path.rsplit("=", 1)[-1])
+            self.send_response(200 if n < 4 else 500)
+            self.end_headers()
+            self.wfile.write(json.dumps({"items": [{"title": f"p{n}"}, {"title": f"q{n}", "year": n}]}).encode() if n < 4 else b"")
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Pages)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/x?page={{page}}"
+    out = external.read_rest(spark, url, 4, "title string, year int", items="items", tolerant="true").collect()
+    server.shutdown()
+    assert sorted((r.title, r.year) for r in out) == sorted([(f"p{n}", None) for n in (1, 2, 3)] + [(f"q{n}", n) for n in (1, 2, 3)])
+
+
+def test_image_measures(spark):
+    from foliospark.operators import images
+
+    rows = spark.createDataFrame([(1, bytearray([255, 255, 0, 0])), (2, bytearray()), (3, None)], "image_id int, gray binary")
+    assert {r.image_id: (r.white_ratio, r.entropy) for r in images.histogram_measures(rows).collect()} == {1: (0.5, 1.0), 2: (0.0, 0.0), 3: (0.0, 0.0)}
