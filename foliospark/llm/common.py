@@ -66,6 +66,14 @@ def drop_cuts(spark: SparkSession) -> None:
     _delete(spark, f"{shared_dir(spark)}/cut-{spark.sparkContext.applicationId}-*")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df has it, upper and lower case alike."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once, also where body uses it many times."""
     return F.transform(F.array(value), body)[0]

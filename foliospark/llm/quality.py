@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, let, table
+from .common import cut, free, let, table
 
 GAP = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -92,11 +92,12 @@ def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that judge() keeps, with the columns of docs. Texts aren't shuffled: the base rules are evaluated
     again beside them and only the hosts' verdicts are joined."""
     verdicts = host_verdicts(cut(rules(docs, host).select("host", "any_failed")))
-    bad = verdicts.where("not host_ok").select(F.col("host").alias("_bad_host"))
-    m = measures(F.col("text"))
-    sized = docs.withColumn("_m", m)
-    good = sized.where((F.col("_m.w.n_words") >= MIN_WORDS) & (100 * F.col("_m.w.n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("_m.w.n_words"))).drop("_m")
-    return good.join(bad, F.col(host).eqNullSafe(F.col("_bad_host")), "left_anti")
+    m, host_name = free(docs, "_m"), free(docs, "_bad_host")
+    bad = verdicts.where("not host_ok").select(F.col("host").alias(host_name))
+    sized = docs.withColumn(m, measures(F.col("text")))
+    n = F.col(f"{m}.w.n_words")
+    good = sized.where((n >= MIN_WORDS) & (100 * F.col(f"{m}.w.n_repeat_words") <= MAX_REPEAT_PERCENT * n)).drop(m)
+    return good.join(bad, F.col(host).eqNullSafe(F.col(host_name)), "left_anti")
 
 
 def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

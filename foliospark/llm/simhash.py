@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import map_batches, texts
-from .common import components, cut, table
+from .common import components, cut, free, table
 from .rolling import labels, pairs_of, signed
 
 MAX_BITS = 3
@@ -201,10 +201,11 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs without the documents that aren't the first (smallest doc_id) of their class; columns as in docs. The ids
     that go are broadcast up to MAX_BROADCAST_IDS of them, so that texts stay in place; more are joined by shuffle."""
-    gone = cut(classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")))
+    name = free(docs, "_gone_id")
+    gone = cut(classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(name)))
     if gone.count() <= MAX_BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id") == F.col("_gone_id"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op2_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import map_batches, steps, texts
-from .common import cut, table
+from .common import cut, free, table
 from .rolling import Prefix, mix, signed, sliding
 
 LENGTH = 100
@@ -303,8 +303,8 @@ def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> D
 def strip(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
     """docs with repeats taken out of their texts; a code point of which a byte is taken goes whole. n_chars, if there,
     is counted anew for changed texts; other columns and null texts stay. Texts move once, to meet their spans."""
-    names, schema = docs.columns, docs.schema
-    spans = repeats(docs, length, seed).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    names, own, where = docs.columns, free(docs, "_id"), free(docs, "_spans")
+    spans = repeats(docs, length, seed).select(F.col("doc_id").alias(own), F.col("spans").alias(where))
 
     def run(batches):
         for batch in (part for whole in batches for part in steps(whole, names.index("text"))):
@@ -326,7 +326,7 @@ def strip(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> Dat
                     arrays[names.index("n_chars")] = pa.array(counts, arrays[names.index("n_chars")].type)
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.join(spans, F.col("doc_id") == F.col("_id"), "left").select(*names, "_spans").mapInArrow(run, schema)
+    return docs.join(spans, F.col("doc_id") == F.col(own), "left").select(*names, where).mapInArrow(run, docs.schema)
 
 
 def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
