@@ -46,7 +46,22 @@ def table_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("doc_id", "line_no", tables.is_artifact(F.col("text")).alias("is_artifact"))
 
 
-@query()
+_HAS = lambda part: f"contains(low, '{part}')"
+_N_OF = lambda pattern, c="t": f"len(regexp_extract_all({c}, '{pattern}'))"
+_FIELD = " OR ".join(_HAS(x) for x in tables.FIELDS)
+
+
+@query(rf"""WITH {LINES_SQL}, a AS (SELECT doc_id, line_no, trim(regexp_replace(replace(text, chr(173), ''), '[\s ]+', ' ', 'g')) AS t FROM lines),
+b AS (SELECT *, lower(t) AS low, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w FROM a),
+c AS (SELECT *, len(w) AS n, regexp_matches(t, '[.!?]\s*$') AS closed, {_N_OF(';')} AS semis, {_N_OF('[.!?]')} AS breaks, {_N_OF(r'\b[0-9]+\.?[0-9]*\b')} AS nums, {_N_OF(r'\b[0-9]+(?:\.[0-9]+)?\b')} AS figures,
+  len([x FOR x IN w IF regexp_matches(x, '^\p{{Lu}}') AND length(x) <= 12]) AS caps, len([x FOR x IN w IF regexp_matches(x, '^[0-9]+\.?[0-9]*$')]) AS bare, coalesce(len([x FOR x IN w IF regexp_matches(x, '^\p{{Ll}}')]) / nullif(len(w), 0), 0) AS prose FROM b)
+SELECT doc_id, line_no, CASE WHEN regexp_matches(t, '^\[[0-9\s,]+\]$') THEN true WHEN length(t) < 8 THEN false WHEN regexp_matches(low, '{tables.FRONT}') THEN true
+WHEN regexp_matches(low, '\btable\s*[0-9]+\s*[.)]?\s*\(continued\)|^table\s+[0-9]+(?:\.[0-9]+)*\.\s+') THEN true WHEN {_HAS('advantages')} AND {_HAS('disadvantages')} THEN true
+WHEN n <= 12 AND (({_HAS('advantage')} AND {_HAS('disadvantage')}) OR ({_HAS('benefit')} AND {_HAS('limitation')})) THEN true
+WHEN regexp_matches(t, '^[0-9]+(?:\.[0-9]+)*\.?\s+[A-Za-z]') AND n <= 20 AND NOT {_HAS('table')} AND NOT {_HAS('figure')} THEN false WHEN n < 4 THEN false
+WHEN n <= 32 AND semis >= 2 AND NOT closed AND (prose <= 0.62 OR figures >= 2) THEN true WHEN n <= 24 AND semis >= 1 AND regexp_matches(t, '\b[0-9]+\s*[×x]\s*10\b|\b10\s*[−-]\s*[0-9]+\b') AND NOT closed THEN true
+WHEN n >= 18 AND breaks >= 1 AND prose >= 0.55 AND NOT ({_FIELD}) THEN false WHEN n BETWEEN 5 AND 24 AND caps >= 0.6 * n AND caps >= 4 THEN true WHEN n <= 24 AND {_N_OF(tables.UNITS, 'low')} >= 2 AND breaks <= 1 THEN true
+WHEN n <= 12 AND nums >= 3 THEN true WHEN {_FIELD} THEN true WHEN n BETWEEN 5 AND 28 AND {_N_OF(r'\b[A-Z][a-z]{1,8}\b')} >= 4 AND regexp_matches(t, '[,;]\s+[A-Z][a-z]') AND breaks = 0 THEN true ELSE n <= 10 AND bare >= 0.6 * n AND bare >= 3 END AS is_noise FROM c""")
 def table_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("doc_id", "line_no", tables.is_noise(F.col("text")).alias("is_noise"))
 
