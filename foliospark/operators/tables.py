@@ -95,39 +95,46 @@ def artifact_spans(paragraphs: DataFrame, tables: DataFrame) -> DataFrame:
     p = paragraphs.join(tables.where("n_tables > 0"), "doc_id").select("doc_id", "ord", "n_tables", is_artifact(F.col("text")).alias("a"), bridge.alias("b"), n.alias("n"), (F.contains(t, F.lit(";")) | t.rlike(NUMBER)).alias("signal"), (t != "").alias("some")).where("some")
     p = p.select("*", F.row_number().over(order).alias("pos"), F.lag("b").over(order).alias("b1"), F.lag("b", 2).over(order).alias("b2"), F.sum((~F.col("a")).cast("int")).over(order).alias("run"))
     runs = p.where("a").groupBy("doc_id", "run").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.bool_or("signal").alias("signal"), F.min_by("n", "pos").alias("words"), F.coalesce(F.min_by("b1", "pos"), F.lit(False)).alias("b1"), F.coalesce(F.min_by("b2", "pos"), F.lit(False)).alias("b2"), F.max("n_tables").alias("n_tables"))
-    return runs.groupBy("doc_id").applyInPandas(_spans, "doc_id long, first_ord long, last_ord long, n_paragraphs long")
+    each = F.array_sort(F.collect_list(F.struct("lo", "hi", "first_ord", "last_ord", "signal", "words", "b1", "b2")))
+    rows = runs.groupBy("doc_id").agg(each.alias("runs"), F.max("n_tables").alias("n_tables")).select(F.col("doc_id").cast("long").alias("doc_id"), "runs", "n_tables")
 
+    def joined(batches):
+        import pyarrow as pa
 
-def _spans(pdf):
-    import pandas as pd
+        for batch in batches:
+            out = [(doc, s[2], s[3], s[1] - s[0] + 1) for doc, own, most in zip(*(c.to_pylist() for c in batch.columns), strict=True) for s in _spans(own, int(most))]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "first_ord", "last_ord", "n_paragraphs"])
 
-    runs = list(pdf.sort_values("lo").itertuples(index=False))
-    seeds = [r.signal and (r.hi > r.lo or r.words <= 14) for r in runs]
+    return rows.mapInArrow(joined, "doc_id long, first_ord long, last_ord long, n_paragraphs long")
+
+
+def _spans(runs: list[dict], most: int) -> list[list]:
+    """[lo, hi, first_ord, last_ord] of one document's spans; its runs come in order."""
+    seeds = [r["signal"] and (r["hi"] > r["lo"] or r["words"] <= 14) for r in runs]
     chosen = list(seeds)
     for steps, back in ((range(1, len(runs)), 1), (range(len(runs) - 2, -1, -1), -1)):
         reach = list(seeds)
         for i in steps:
-            near = abs(runs[i].lo - runs[i - 1].hi if back == 1 else runs[i + 1].lo - runs[i].hi) <= 2
-            reach[i] = reach[i] or (reach[i - back] and near and runs[i].hi > runs[i].lo)
+            near = abs(runs[i]["lo"] - runs[i - 1]["hi"] if back == 1 else runs[i + 1]["lo"] - runs[i]["hi"]) <= 2
+            reach[i] = reach[i] or (reach[i - back] and near and runs[i]["hi"] > runs[i]["lo"])
             chosen[i] = chosen[i] or reach[i]
-    spans: list[list] = []  # lo, hi, first_ord, last_ord
+    spans: list[list] = []
     for r in (r for r, c in zip(runs, chosen, strict=True) if c):
-        gap = r.lo - spans[-1][1] - 1 if spans else None
-        if gap is not None and (gap <= 0 or (gap == 1 and r.b1) or (gap == 2 and r.b1 and r.b2)):
-            spans[-1][1::2] = [r.hi, r.last_ord]
+        gap = r["lo"] - spans[-1][1] - 1 if spans else None
+        if gap is not None and (gap <= 0 or (gap == 1 and r["b1"]) or (gap == 2 and r["b1"] and r["b2"])):
+            spans[-1][1::2] = [r["hi"], r["last_ord"]]
         else:
-            spans.append([r.lo, r.hi, r.first_ord, r.last_ord])
-    most = int(pdf["n_tables"].iloc[0])
+            spans.append([r["lo"], r["hi"], r["first_ord"], r["last_ord"]])
     while len(spans) > most:
-        gap, i = min((b[0] - a[1] - 1, i) for i, (a, b) in enumerate(zip(spans, spans[1:], strict=False)))
+        gap, i = min(((b[0] - a[1] - 1, i) for i, (a, b) in enumerate(zip(spans, spans[1:], strict=False))), default=(7, 0))
         if gap > 6:
             break
         spans[i][1::2] = spans.pop(i + 1)[1::2]
     if len(spans) > most:
         longest = sorted(range(len(spans)), key=lambda i: (spans[i][1] - spans[i][0], i))[-most:]
         spans = [spans[i] for i in sorted(longest)]
-    doc = pdf["doc_id"].iloc[0]
-    return pd.DataFrame([(doc, s[2], s[3], s[1] - s[0] + 1) for s in spans], columns=["doc_id", "first_ord", "last_ord", "n_paragraphs"])
+    return spans
 
 
 def plausible_assets(assets: DataFrame, width: float = 595.0, height: float = 791.0) -> DataFrame:
