@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,13 @@ from pyspark.sql.types import StructType
 STEP_BYTES = 4 << 20
 
 
+def give_back() -> None:
+    """Returns free memory to the system; at the end of a task, as workers live on and others need it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def steps(batch: pa.RecordBatch, column: int, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """batch in slices whose binary column holds at most limit bytes (a longer value stands alone)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -38,6 +46,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], lis
                 arrays = f(step)
                 if arrays and len(arrays[0]):
                     yield pa.RecordBatch.from_arrays(arrays, names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

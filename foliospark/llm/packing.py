@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import steps, texts
+from .arrow import give_back, steps, texts
 from .common import cut, table
 
 LENGTH = 2048
@@ -50,6 +50,7 @@ def tokenize(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
                     starts.append(at)
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()), step.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], schema.names)
+        give_back()
 
     return texts(docs).mapInArrow(run, schema)
 
