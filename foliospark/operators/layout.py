@@ -15,6 +15,8 @@ from ..functions.geometry import inside, overlap, x_overlap_ratio
 #: The patterns of captions and of noise. For roles a word boundary must follow `fig.`, so `Fig. 3` is none.
 CAPTION = r"^(?i)\s*(figure|fig\.|table)\b"
 NOISE = r"^(?i)(orcid\s*:?\s*\d{4}-\d{4}-\d{4}-\d{3}[0-9x]|\s*\d+\s*$|www\.|https?://|[\w.-]+@[\w.-]+\.\w+$|(19|20)\d{2}\s*(vol\.|volume)?\s*\d+)"
+#: The same with a year of four digits; NOISE, as the reference, also takes longer numbers that open with 19 or 20 and text after them.
+NOISE_OF_YEARS = NOISE.replace(r"(19|20)\d{2}", r"(19|20)\d{2}(?!\d)")
 NUMBERED_CAPTION = r"^(?i)(figure|fig\.|table)\s*\d+|^(图|表)\s*\d+|^(?i)(fig\.?|table|chart|diagram)\s*[a-z]?\d+"
 PAGE = ("doc_id", "page")
 
@@ -27,12 +29,12 @@ def flags(blocks: DataFrame, width: float = 595.0, height: float = 791.0) -> Dat
     return blocks.select("doc_id", "block_id", ((F.col("font_size") > 1.1 * mean) & (n < 150) & F.col("is_bold")).alias("is_heading"), (((F.col("y0") < 0.1 * height) | (F.col("y1") > 0.9 * height)) & (n < 100)).alias("is_header_footer"), F.when((F.col("x0") + F.col("x1")) / 2 < width / 2, 1).otherwise(2).alias("column"))
 
 
-def classify(blocks: DataFrame, width: float = 595.0, height: float = 791.0) -> DataFrame:
-    """category and confidence of each block by the first rule that holds."""
+def classify(blocks: DataFrame, width: float = 595.0, height: float = 791.0, noise: str = NOISE) -> DataFrame:
+    """category and confidence of each block by the first rule that holds; noise: the pattern of texts that are none."""
     t = F.trim(F.coalesce("text", F.lit("")))
     rules = (
         (t == "", "noise", 0.9),
-        (t.rlike(NOISE), "noise", 0.85),
+        (t.rlike(noise), "noise", 0.85),
         (t.rlike(NUMBERED_CAPTION), F.when(F.lower(t).rlike("^(table|表)"), "table").otherwise("figure"), 0.8),
         (((F.col("y1") / height < 0.1) | (F.col("y0") / height > 0.9)) & (F.length(t) < 50), "header_footer", 0.7),
         (((F.col("x1") / width < 0.2) | (F.col("x0") / width > 0.8)) & (F.length(t) < 100), "sidebar", 0.6),

@@ -67,7 +67,7 @@ WHEN (y1 / 791.0 < 0.1 OR y0 / 791.0 > 0.9) AND length(t) < 50 THEN 'header_foot
 CASE WHEN t = '' THEN 0.9 WHEN regexp_matches(t, '^[0-9]+$') THEN 0.85 WHEN regexp_matches(t, '^(Table|Fig.) [0-9]+') THEN 0.8 WHEN (y1 / 791.0 < 0.1 OR y0 / 791.0 > 0.9) AND length(t) < 50 THEN 0.7 WHEN (x1 / 595.0 < 0.2 OR x0 / 595.0 > 0.8) AND length(t) < 100 THEN 0.6 ELSE 0.7 END::DOUBLE AS confidence
 FROM (SELECT *, trim(text) AS t FROM blocks)""")
 def block_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.classify(derived(spark, sf_dir, "blocks"))
+    return layout.classify(derived(spark, sf_dir, "blocks"), noise=layout.NOISE_OF_YEARS)
 
 
 _ROLED = "roled AS (SELECT *, CASE WHEN text LIKE 'Table %' THEN 'TableCaption' WHEN is_heading THEN 'Heading' WHEN is_header_footer THEN 'HeaderFooter' ELSE 'Body' END AS role, row_number() OVER (PARTITION BY doc_id, page ORDER BY column_guess, y0, x0, ord) AS reading_pos FROM blocks)"
