@@ -218,15 +218,23 @@ def pdf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import pdf
 
     line = F.struct("page", "ord", "text", "x0", "y0", F.col("font_size").cast("double").alias("font_size"), "is_bold")
-    docs = derived(spark, sf_dir, "blocks").groupBy("doc_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    docs = derived(spark, sf_dir, "blocks").groupBy("doc_id").agg(F.sort_array(F.collect_list(line)).alias("lines"))
 
     def written(batches):
         import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for lines in batch.column(1).to_pylist():
-                pages = [[x for x in lines if x["page"] == n] for n in range(1, 1 + max(x["page"] for x in lines))]
+            lines, out, end = batch.column(1), [], 0
+            flat = lines.flatten()
+            names, columns = [f.name for f in flat.type], [c.to_pylist() for c in flat.flatten()]
+            every = [dict(zip(names, row, strict=True)) for row in zip(*columns, strict=True)]
+            for n in lines.value_lengths().to_pylist():
+                pages: list[list[dict]] = []
+                for x in every[end : end + n]:  # by page
+                    while len(pages) < x["page"]:
+                        pages.append([])
+                    pages[-1].append(x)
+                end += n
                 out.append(pdf.write(pages))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(out, pa.binary())], ["path", "content"])
 
